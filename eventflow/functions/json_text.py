@@ -10,24 +10,34 @@ from .text import let
 _END = "␞end-of-json␞"
 _OBJECT = "map<string,variant>"
 _ARRAY = "array<variant>"
-_NODES = "array<struct<path:string,value:variant>>"
 
 
-def strict_json(value: Column) -> Column:
-    """VARIANT of a text that is one complete JSON value, else NULL.
+def wrapped_json(value: Column) -> Column:
+    """VARIANT ``[value, end marker]`` of a text, NULL where that is no JSON.
 
-    ``try_parse_json`` ignores whatever follows the first value; an end marker behind the text
-    makes such leftovers visible.
+    ``try_parse_json`` ignores whatever follows the first value; the end marker behind the text
+    makes such leftovers visible, see :func:`is_complete`.
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{_END}"]')))
-    complete = lambda v: (F.try_variant_get(v, "$[1]", "string") == _END) & F.try_variant_get(v, "$[2]", "variant").isNull()
-    parsed = let(wrapped, lambda v: F.when(complete(v), F.try_variant_get(v, "$[0]", "variant")))
-    return F.when(~value.contains(_END), parsed)
+    return F.when(~value.contains(_END), wrapped)
+
+
+def is_complete(wrapped: Column) -> Column:
+    """Whether the text of :func:`wrapped_json` was one whole JSON value."""
+    end = F.try_variant_get(wrapped, "$[1]", "string") == _END
+    return F.coalesce(end & F.try_variant_get(wrapped, "$[2]", "variant").isNull(), F.lit(False))
+
+
+def strict_json(value: Column) -> Column:
+    """VARIANT of a text that is one complete JSON value, else NULL."""
+    return let(
+        wrapped_json(value), lambda w: F.when(is_complete(w), F.try_variant_get(w, "$[0]", "variant"))
+    )
 
 
 def is_json(value: Column) -> Column:
     """Whether a text is valid JSON of any kind; FALSE for NULL."""
-    return F.coalesce(strict_json(value).isNotNull(), F.lit(False))
+    return is_complete(wrapped_json(value))
 
 
 def as_object(value: Column) -> Column:
@@ -35,9 +45,14 @@ def as_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", _OBJECT)
 
 
+def starts_object(value: Column) -> Column:
+    """Whether a JSON text is an object, by its first character."""
+    return F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
+
+
 def strict_object(value: Column) -> Column:
     """VARIANT of a text that is one JSON object, else NULL."""
-    return let(strict_json(value), lambda v: F.when(as_object(v).isNotNull(), v))
+    return F.when(starts_object(value), strict_json(value))
 
 
 def json_type(value: Column) -> Column:
@@ -53,88 +68,85 @@ def json_type(value: Column) -> Column:
     )
 
 
-def _join(prefix: Column, separator: str, key: Column) -> Column:
-    return F.when(prefix.isNull(), key).otherwise(F.concat(prefix, F.lit(separator), key))
-
-
-def flatten_variant(value: Column, depth_bound: Column, separator: str) -> Column:
-    """``map<string,variant>`` of all leaves of a variant object, keyed by their path.
+def flatten_object(root: Column, depth_bound: Column, separator: str) -> Column:
+    """``map<string,variant>`` of all leaves below a ``map<string,variant>``, keyed by their path.
 
     Objects give ``a.b``, arrays ``a.0``; an array directly inside an array stays whole; empty
-    objects and arrays vanish; a value that is no object gives the single key ``value``.
-    One fold per row opens the pending objects level by level, so nothing is exploded, shuffled
-    or limited in depth; rounds after the last level only test an empty array.
+    objects and arrays vanish.  One fold per row opens the pending objects level by level, so nothing is
+    exploded, shuffled or limited in depth; rounds after the last level only test an empty array.
     """
-    no_nodes = F.array().cast(_NODES)
-
-    def opened(node: Column) -> Column:
-        """Children of a pending object: (path, value) with arrays already spread one level."""
-        return F.flatten(
-            F.transform(
-                F.map_entries(as_object(node["value"])),
-                lambda e: let(
-                    _join(node["path"], separator, e["key"]),
-                    lambda path: F.coalesce(
-                        F.transform(
-                            F.try_variant_get(e["value"], "$", _ARRAY),
-                            lambda item, i: F.struct(
-                                F.concat(path, F.lit(separator), i.cast("string")).alias("path"),
-                                item.alias("value"),
-                            ),
-                        ),
-                        F.array(F.struct(path.alias("path"), e["value"].alias("value"))),
-                    ),
-                ),
+
+    def node(path: Column, value: Column) -> Column:
+        return F.struct(path.alias("path"), value.alias("value"), as_object(value).alias("members"))
+
+    def opened(parent: Column) -> Column:
+        """Children of an object, with its arrays already spread."""
+
+        def child(entry: Column) -> Column:
+            path = F.concat(parent["path"], entry["key"])
+            items = F.transform(
+                F.try_variant_get(entry["value"], "$", _ARRAY),
+                lambda item, i: node(F.concat(path, F.lit(separator), i.cast("string")), item),
             )
-        )
+            return F.coalesce(items, F.array(node(path, entry["value"])))
+
+        return F.flatten(F.transform(F.map_entries(parent["members"]), child))
 
-    def is_open(node: Column) -> Column:
-        return as_object(node["value"]).isNotNull()
+    def sorted_out(children: Column, done: Column | None) -> Column:
+        leaves = F.transform(
+            F.filter(children, lambda n: n["members"].isNull()),
+            lambda n: F.struct(n["path"].alias("path"), n["value"].alias("value")),
+        )
+        inner = F.transform(
+            F.filter(children, lambda n: n["members"].isNotNull()),
+            lambda n: F.struct(F.concat(n["path"], F.lit(separator)).alias("path"), n["members"].alias("members")),
+        )
+        return F.struct(inner.alias("pending"), (leaves if done is None else F.concat(done, leaves)).alias("done"))
 
     def level(state: Column, _: Column) -> Column:
         children = F.flatten(F.transform(state["pending"], opened))
         return F.when(F.size(state["pending"]) == 0, state).otherwise(
-            let(
-                children,
-                lambda c: F.struct(
-                    F.filter(c, is_open).alias("pending"),
-                    F.concat(state["done"], F.filter(c, lambda n: ~is_open(n))).alias("done"),
-                ),
-            )
+            let(children, lambda c: sorted_out(c, state["done"]))
         )
 
-    root = F.array(F.struct(F.lit(None).cast("string").alias("path"), value.alias("value"))).cast(_NODES)
-    start = F.struct(root.alias("pending"), no_nodes.alias("done"))
-    leaves = F.aggregate(F.sequence(F.lit(1), F.greatest(depth_bound, F.lit(1))), start, level)["done"]
+    top = let(opened(F.struct(F.lit("").alias("path"), root.alias("members"))), lambda c: sorted_out(c, None))
+    deeper = F.sequence(F.lit(1), F.greatest(depth_bound - 1, F.lit(1)))
     # Two paths can spell the same key ({"a.b":1,"a":{"b":2}}); the last one stays.
-    return (
-        F.when(value.isNull(), F.lit(None))
-        .when(as_object(value).isNull(), F.create_map(F.lit("value"), value))
-        .otherwise(last_wins_map(leaves, "path"))
-    )
+    return last_wins_map(F.aggregate(deeper, top, level)["done"], "path")
 
 
 def nesting_bound(value: Column) -> Column:
     """Upper bound of the object depth of a JSON text: its count of opening braces."""
-    return F.length(value) - F.length(F.replace(value, F.lit("{"))) + 1
+    return F.length(value) - F.length(F.replace(value, F.lit("{")))
 
 
 def last_wins_map(nodes: Column, key: str, value: str = "value", first: bool = False) -> Column:
     """Map of an array of structs; of equal keys the last (or first) one stays.
 
-    Sorting by (key, position) and comparing neighbours keeps this n log n for long arrays.
+    Without equal keys the array is the map already.  Otherwise sorting by (key, position) and
+    comparing neighbours finds the ones that stay, in n log n for long arrays.
     """
-    order = F.array_sort(F.transform(nodes, lambda n, i: F.struct(n[key].alias("k"), i.alias("i"))))
-
-    def unique(pair: Column) -> Column:
-        sorted_keys, all_nodes = pair["o"], pair["n"]
-        neighbour = (lambda i: i - 1) if first else (lambda i: i + 1)
-        kept = F.filter(
-            sorted_keys,
-            lambda s, i: ~F.coalesce(F.get(sorted_keys, neighbour(i))["k"] == s["k"], F.lit(False)),
-        )
-        return F.map_from_entries(
-            F.transform(kept, lambda s: F.struct(s["k"].alias("key"), F.get(all_nodes, s["i"])[value].alias("value")))
-        )
 
-    return let(F.struct(order.alias("o"), nodes.alias("n")), unique)
+    def entry(n: Column) -> Column:
+        return F.struct(n[key].alias("key"), n[value].alias("value"))
+
+    def unique(all_nodes: Column) -> Column:
+        order = F.array_sort(F.transform(all_nodes, lambda n, i: F.struct(n[key].alias("k"), i.alias("i"))))
+
+        def thinned(sorted_keys: Column) -> Column:
+            neighbour = (lambda i: i - 1) if first else (lambda i: i + 1)
+            kept = F.filter(
+                sorted_keys,
+                lambda s, i: ~F.coalesce(F.get(sorted_keys, neighbour(i))["k"] == s["k"], F.lit(False)),
+            )
+            return F.transform(kept, lambda s: entry(F.get(all_nodes, s["i"])))
+
+        return let(order, thinned)
+
+    def build(all_nodes: Column) -> Column:
+        keys = F.transform(all_nodes, lambda n: n[key])
+        distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+        entries = F.transform(all_nodes, entry)
+        return F.map_from_entries(F.when(distinct, entries).otherwise(unique(all_nodes)))
+
+    return let(nodes, build)

@@ -16,11 +16,9 @@ V6_PATTERN = r"\A(?:[0-9A-Fa-f]{1,4})?(?::{1,2}[0-9A-Fa-f]{1,4})*(?:::)?\z"
 
 
 def _v4_hex(value: Column) -> Column:
-    number = F.aggregate(
-        F.split(value, r"\."),
-        F.lit(0).cast("bigint"),
-        lambda acc, octet: acc * 256 + octet.cast("bigint"),
-    )
+    octets = F.split(value, r"\.")
+    octet = lambda i: F.get(octets, F.lit(i)).cast("bigint")
+    number = octet(0) * 16777216 + octet(1) * 65536 + octet(2) * 256 + octet(3)
     return F.lower(F.lpad(F.hex(number), 8, "0"))
 
 

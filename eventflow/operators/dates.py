@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as dt
 from ..functions import text as tx
-from .effect import Effect, operator, unchanged
+from .effect import Effect, once, operator, unchanged
 
 # The layouts tried when none is configured.
 DEFAULT_LAYOUTS = ["2006-01-02T15:04:05Z07:00", "2006-01-02 15:04:05", "02/Jan/2006:15:04:05 -0700"]
@@ -68,7 +68,7 @@ def date_parse(
         )
     else:
         return unchanged(df)
-    prepared = df.withColumn("_parsed", stamp)
+    prepared = once(df, "_parsed", stamp)
     value = tx.field("_parsed") if as_timestamp else dt.rfc3339(tx.field("_parsed"), timezone)
     if tx.has(df, target_field):
         if as_timestamp:

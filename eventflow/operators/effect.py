@@ -166,6 +166,15 @@ def operator(name: str):
     return register
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a helper column whose (costly) expression is evaluated exactly once per row.
+
+    The optimizer copies a projected expression into every later filter and projection that uses it;
+    it does not do so with the output of an explode, here of a one-element array.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def unchanged(df: DataFrame) -> Effect:
     return Effect(df, applied=F.lit(False))
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions import net
 from ..functions import regex as rx
 from ..functions import text as tx
-from .effect import Effect, operator, require, unchanged
+from .effect import Effect, once, operator, require, unchanged
 
 # Largest look-up side that is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -267,7 +267,7 @@ def geoip(
     ).where(F.col("_start") <= F.col("_end"))
     fine, coarse = _bucketed(ranges)
     small = fits_broadcast(fine) if broadcast is None else broadcast
-    located = df.withColumn("_ip", net.ip_hex(source))
+    located = once(df, "_ip", net.ip_hex(source))
     located = _range_join(located, _bucket_of(F.col("_ip")), fine, "_geo_fine", small)
     # Wide ranges cover at most 65,536 coarse buckets in all, for they do not overlap.
     located = _range_join(located, F.left(F.col("_ip"), F.lit(4)), coarse, "_geo_wide", True if small else fits_broadcast(coarse))
@@ -391,7 +391,8 @@ def useragent(
     rules = AGENT_RULES if rules is None else rules
     agent = tx.field(source_field)
     if not distinct:
-        return Effect(df, sets={target_field: agent_info(agent, rules)}, applied=agent.isNotNull())
+        prepared = once(df, "_ua", agent_info(agent, rules))
+        return Effect(prepared, sets={target_field: F.col("_ua")}, applied=agent.isNotNull(), temps=("_ua",))
     agents = df.select(agent.alias("_key")).where(F.col("_key").isNotNull()).distinct()
     known = agents.withColumn("_row", agent_info(F.col("_key"), rules))
     small = fits_broadcast(agents) if broadcast is None else broadcast

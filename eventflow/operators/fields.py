@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import json_text as js
 from ..functions import regex as rx
 from ..functions import text as tx
-from .effect import Effect, operator, require, unchanged
+from .effect import Effect, once, operator, require, unchanged
 
 
 def template_variables(
@@ -202,15 +202,32 @@ def json_flatten(
     value, kind = tx.field(source_field), tx.type_of(df, source_field)
     target = target_field or "@flatten"
     if isinstance(kind, T.StringType):
-        variant, bound = js.strict_json(value), js.nesting_bound(value)
+        text = value
     elif isinstance(kind, T.VariantType):
-        variant, bound = value, js.nesting_bound(value.cast("string"))
-    elif isinstance(kind, (T.StructType, T.MapType)):
-        variant, bound = F.parse_json(F.to_json(value)), js.nesting_bound(F.to_json(value))
+        text = value.cast("string")
+    elif isinstance(kind, (T.StructType, T.MapType, T.ArrayType)):
+        text = F.to_json(value)
     else:
-        variant, bound = value.cast("variant"), F.lit(1)
-    result = js.flatten_variant(variant, bound, separator)
-    return Effect(df, sets={target: result}, applied=variant.isNotNull())
+        text = tx.text(value, kind)
+    prepared = once(df, "_doc", js.wrapped_json(text))
+    prepared = once(prepared, "_valid", js.is_complete(F.col("_doc")))
+    prepared = once(
+        prepared, "_root", F.when(F.col("_valid"), F.try_variant_get("_doc", "$[0]", "map<string,variant>"))
+    )
+    # An object without inner objects and arrays is its own result.
+    flat = (js.nesting_bound(text) <= 1) & ~text.contains("[")
+    leaves = (
+        F.when(F.col("_root").isNull(), F.create_map(F.lit("value"), F.try_variant_get("_doc", "$[0]", "variant")))
+        .when(flat, F.col("_root"))
+        .otherwise(js.flatten_object(F.col("_root"), js.nesting_bound(text), separator))
+    )
+    prepared = once(prepared, "_leaves", F.when(F.col("_valid"), leaves))
+    result = tx.field("_leaves")
+    if tx.has(df, target) and tx.type_of(df, target) == T.MapType(T.StringType(), T.VariantType()):
+        result = F.coalesce(result, tx.field(target))
+    return Effect(
+        prepared, sets={target: result}, applied=F.col("_valid"), temps=("_doc", "_valid", "_root", "_leaves")
+    )
 
 
 @operator("fingerprint")

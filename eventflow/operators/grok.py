@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import regex as rx
 from ..functions import text as tx
-from .effect import Effect, operator, require, unchanged
+from .effect import Effect, once, operator, require, unchanged
 from .grok_patterns import expand
 
 
@@ -37,7 +37,9 @@ def grok(
         f"_grok_{i}": rx.captures(tx.field(source_field), p, [index for index, _ in p.names])
         for i, p in enumerate(compiled)
     }
-    prepared = df.withColumns(temps)
+    prepared = df
+    for name, value in temps.items():
+        prepared = once(prepared, name, value)
     found = [tx.field(name) for name in temps]
     matched = tx.any_of([f.isNotNull() for f in found])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_text as js
 from ..functions import text as tx
-from .effect import Effect, operator, unchanged
+from .effect import Effect, once, operator, unchanged
 
 
 def pairs(
@@ -76,7 +76,7 @@ def kv(
     found = pairs(
         tx.field(source_field), field_split, value_split, include_keys, exclude_keys, trim_key, trim_value
     )
-    prepared = df.withColumn("_pairs", found)
+    prepared = once(df, "_pairs", found)
     listed = tx.field("_pairs")
     any_found = F.coalesce(F.size(listed) > 0, F.lit(False))
     declared = list(dict.fromkeys([*(fields or include_keys or []), *(defaults if fields or include_keys else [])]))

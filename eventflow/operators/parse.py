@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions import json_text as js
 from ..functions import regex as rx
 from ..functions import text as tx
-from .effect import Effect, operator, require
+from .effect import Effect, once, operator, require
 
 Parser = Callable[[Column, dict[str, Any]], Column]
 
@@ -116,10 +116,8 @@ def parse_influx(value: Column, settings: dict[str, Any]) -> Column:
     line = tx.trim_space(value)
 
     def typed(p: Column) -> Column:
-        number = F.when(p["value"].rlike(NUMBER_TEXT), p["value"].try_cast("double"))
-        content = F.when(number.isNotNull(), number.cast("variant")).otherwise(
-            F.btrim(p["value"], F.lit('"')).cast("variant")
-        )
+        number = F.when(p["value"].rlike(NUMBER_TEXT), p["value"].try_cast("double").cast("variant"))
+        content = F.coalesce(number, F.btrim(p["value"], F.lit('"')).cast("variant"))
         return F.struct(p["key"].alias("key"), content.alias("value"))
 
     def build(parts: Column) -> Column:
@@ -189,9 +187,15 @@ def repaired_json(value: Column) -> Column:
     """VARIANT object of a text, after escaping raw line breaks and closing open braces if needed."""
     text = tx.trim_space(value)
     escaped = F.replace(F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit("\t"), F.lit("\\t"))
-    count = lambda mark: F.length(text) - F.length(F.replace(text, F.lit(mark)))
-    closed = F.concat(escaped, F.repeat(F.lit("}"), F.greatest(count("{") - count("}"), F.lit(0))))
-    return F.coalesce(js.strict_object(value), js.strict_object(escaped), js.strict_object(closed))
+    count = lambda c, mark: F.length(c) - F.length(F.replace(c, F.lit(mark)))
+
+    def repair(line: Column) -> Column:
+        missing = count(line, "{") - count(line, "}")
+        closed = F.concat(line, F.repeat(F.lit("}"), F.greatest(missing, F.lit(0))))
+        # Only a text that starts like an object can be repaired to one.
+        return F.when(js.starts_object(line), F.coalesce(js.strict_object(line), js.strict_object(closed)))
+
+    return F.coalesce(js.strict_object(value), tx.let(escaped, repair))
 
 
 def parse_ndjson(value: Column, settings: dict[str, Any]) -> Column:
@@ -257,10 +261,8 @@ PARSERS: dict[str, Parser] = {
 
 def parse_any(value: Column, settings: dict[str, Any]) -> Column:
     """First parser that accepts the text: JSON object, repaired JSON object, syslog, plain text."""
-    syslog = parse_syslog(value, {})
 
-    def build(found: Column) -> Column:
-        record, line = found["json"], found["syslog"]
+    def build(record: Column, line: Column) -> Column:
         plain = record.isNull() & line.isNull()
         return F.when(
             value.isNotNull(),
@@ -273,8 +275,11 @@ def parse_any(value: Column, settings: dict[str, Any]) -> Column:
             ),
         )
 
-    record = repaired_json(value)
-    return tx.let(F.struct(record.alias("json"), F.when(record.isNull(), syslog).alias("syslog")), build)
+    def with_line(record: Column) -> Column:
+        syslog = F.when(record.isNull(), parse_syslog(value, {}))
+        return tx.let(syslog, lambda line: build(record, line))
+
+    return tx.let(repaired_json(value), with_line)
 
 
 @operator("parse")
@@ -307,7 +312,7 @@ def parse(
     if isinstance(source_type, T.BinaryType):
         value = F.decode(value, "UTF-8")
     parser = PARSERS[parser_name] if parser_name else parse_any
-    prepared = df.withColumn("_in", value).withColumn("_out", parser(F.col("_in"), settings or {}))
+    prepared = once(once(df, "_in", value), "_out", parser(F.col("_in"), settings or {}))
     out = tx.field("_out")
     done = out.isNotNull()
     sets: dict[str, Column] = {}

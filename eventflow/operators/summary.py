@@ -54,13 +54,13 @@ def _field_rows(df: DataFrame, record: str | None, order: Column | None = None)
     value = tx.field(record)
     variant = value if isinstance(tx.type_of(df, record), T.VariantType) else js.strict_json(value)
     entries = F.map_entries(js.as_object(variant))
-    rows = df.select(F.explode(entries).alias("e"), at.alias("ord"))
+    rows = df.select(F.explode(entries).alias("e"), at.alias("ord")).where(~F.col("e.key").startswith("_"))
     return rows.select(
         F.col("e.key").alias("field"),
         js.json_type(F.col("e.value")).alias("type"),
         F.col("e.value").cast("string").alias("sample"),
         "ord",
-    ).where(~F.col("field").startswith("_"))
+    )
 
 
 def _record_count(df: DataFrame, record: str | None) -> DataFrame:
@@ -68,8 +68,11 @@ def _record_count(df: DataFrame, record: str | None) -> DataFrame:
     if record is None:
         return df.agg(F.count("*").alias("n"))
     value = tx.field(record)
-    variant = value if isinstance(tx.type_of(df, record), T.VariantType) else js.strict_json(value)
-    return df.agg(F.count(js.as_object(variant)).alias("n"))
+    if isinstance(tx.type_of(df, record), T.VariantType):
+        counted = js.as_object(value).isNotNull()
+    else:
+        counted = js.starts_object(value) & js.is_json(value)
+    return df.agg(F.count_if(counted).alias("n"))
 
 
 def schema_union(df: DataFrame, record: str | None = None) -> DataFrame:
