@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,11 +45,14 @@ def decode_lines(lines: DataFrame, schema: str | T.StructType | None = None, kee
     return decoded.select(*others, *fields, F.when(error, message).alias("_error"), raw.alias("_raw"))
 
 
-def _with_path(lines: DataFrame, path_root: str | None) -> DataFrame:
-    """Tenant and dataset of the file a line comes from; ``path_root`` is what precedes the key."""
+_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*"
+
+
+def _with_path(lines: DataFrame, root: str) -> DataFrame:
+    """Tenant and dataset of the file a line comes from, by its key below the folder ``root``."""
     path = F.col("_metadata.file_path")
-    key = F.regexp_replace(path, "^" + tx.quote_regex(path_root.rstrip("/")) + "/", "") if path_root else path
-    key = F.regexp_replace(key, r"^[a-z0-9]+:/+", "")
+    lead = tx.quote_regex(re.sub(_SCHEME, "", root).rstrip("/"))
+    key = F.regexp_replace(F.regexp_replace(path, _SCHEME, ""), f"^{lead}/", "")
     meta = path_metadata(key)
     return lines.select(
         "value",
@@ -57,11 +62,6 @@ def _with_path(lines: DataFrame, path_root: str | None) -> DataFrame:
     )
 
 
-def _root_uri(spark: SparkSession, path: str) -> str:
-    """File paths in Spark's metadata are URIs; a plain local path is one with ``file:``."""
-    return path if "://" in path or path.startswith("file:") else "file://" + path
-
-
 def read_lines(spark: SparkSession, path: str | list[str], path_metadata: bool = False, partitions: int | None = None) -> DataFrame:
     """Text lines of plain or compressed files.
 
@@ -69,7 +69,7 @@ def read_lines(spark: SparkSession, path: str | list[str], path_metadata: bool =
     """
     first = path if isinstance(path, str) else path[0]
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    lines = _with_path(lines, _root_uri(spark, first)) if path_metadata else lines
+    lines = _with_path(lines, first) if path_metadata else lines
     return lines.repartition(partitions) if partitions else lines
 
 
@@ -103,7 +103,7 @@ def read_events_stream(
     if delete_source:
         reader = reader.option("cleanSource", "delete")
     lines = reader.load(path)
-    lines = _with_path(lines, _root_uri(spark, path)) if path_metadata else lines
+    lines = _with_path(lines, path) if path_metadata else lines
     return decode_lines(lines, schema, keep_raw)
 
 
