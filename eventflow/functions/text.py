@@ -6,6 +6,7 @@ In typed mode a field is *missing* when its column is absent or NULL.
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 from typing import Any
 
@@ -22,6 +23,7 @@ UNICODE_SPACE = (
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 FLOATING = (T.FloatType, T.DoubleType)
+INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def field(name: str) -> Column:
@@ -102,7 +104,12 @@ def equals(df: DataFrame, name: str, value: Any) -> Column:
     kind = type_of(df, name)
     if isinstance(kind, NUMERIC) and is_number(value):
         return field(name) == F.lit(value)
-    return text(field(name), kind) == F.lit(config_text(value))
+    wanted = config_text(value)
+    if isinstance(kind, INTEGRAL):
+        # The text of an integer is unique, so a comparison of numbers does and the scan can use it.
+        canonical = re.fullmatch(r"0|-?[1-9]\d{0,17}", wanted)
+        return field(name) == F.lit(int(wanted)) if canonical else F.when(field(name).isNotNull(), F.lit(False))
+    return text(field(name), kind) == F.lit(wanted)
 
 
 def trim_space(value: Column) -> Column:
@@ -160,5 +167,9 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions], F.lit(False))
 
 
+def all_of(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+
+
 def is_true(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))

@@ -6,6 +6,7 @@ Every condition is NULL-safe: a missing field never raises and never matches, ex
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,26 @@ from .mutate import literal
 DEFAULT_SEED = 42
 
 
+class Match:
+    """OR of conditions on fields, in the two forms a filter needs.
+
+    Both stay plain comparisons joined by AND / OR, so that Catalyst can push them to the scan.
+    """
+
+    def __init__(self, conditions: list[tuple[Column, Column]]):
+        self.conditions = conditions
+
+    @property
+    def found(self) -> Column:
+        """True where some condition holds; false or NULL elsewhere."""
+        return reduce(lambda a, b: a | b, [c for _, c in self.conditions]) if self.conditions else F.lit(False)
+
+    @property
+    def absent(self) -> Column:
+        """True where none holds, a missing field included; never NULL where it matters."""
+        return tx.all_of([field.isNull() | ~c for field, c in self.conditions])
+
+
 def matcher(
     df: DataFrame,
     field: str | None = None,
@@ -31,44 +52,44 @@ def matcher(
     any_field: list[str] | None = None,
     any_equals: Any = None,
     any_matches: str | None = None,
-) -> Column:
-    """OR of the configured conditions; false where the fields are missing.
+) -> Match:
+    """The configured conditions; they do not hold where the fields are missing.
 
     ``contains`` and ``matches`` look at string fields only.
     """
     for pattern in (matches, any_matches):
         if pattern is not None:
             rx.compile_pattern(pattern)
-    found: list[Column] = []
+    found: list[tuple[Column, Column]] = []
 
     def test(name: str, value: Any, part: str | None, pattern: str | None) -> None:
         if not tx.has(df, name):
             return
         if value is not None:
-            found.append(tx.equals(df, name, value))
+            found.append((tx.field(name), tx.equals(df, name, value)))
         if part and tx.is_string(df, name):
-            found.append(tx.field(name).contains(part))
+            found.append((tx.field(name), tx.field(name).contains(part)))
         if pattern is not None and tx.is_string(df, name):
-            found.append(rx.matches(tx.field(name), pattern))
+            found.append((tx.field(name), rx.matches(tx.field(name), pattern)))
 
     if field:
         test(field, equals, contains, matches)
     for name in any_field or []:
         test(name, any_equals, None, any_matches)
-    return tx.any_of(found)
+    return Match(found)
 
 
 @operator("include")
 def include(df: DataFrame, **config) -> Effect:
     """Keep the rows that match."""
-    return Effect(df, keep=matcher(df, **config))
+    return Effect(df, keep=matcher(df, **config).found)
 
 
 @operator("exclude")
 def exclude(df: DataFrame, **config) -> Effect:
     """Drop the rows that match."""
     found = matcher(df, **config)
-    return Effect(df, keep=~found, applied=found)
+    return Effect(df, keep=found.absent, applied=found.found)
 
 
 def draw(rate: float, seed: int | None, keys: list[str] | None) -> Column:
@@ -113,21 +134,20 @@ def drop(
     if always_drop:
         return Effect(df, keep=F.lit(False))
     protected = matcher(df, field=unless_field, equals=unless_equals, matches=unless_matches)
+    keep: list[Column] = [protected.found] if protected.conditions else []
     if if_field:
-        conditions = [matcher(df, field=if_field, equals=equals, contains=contains, matches=matches)]
+        doomed = matcher(df, field=if_field, equals=equals, contains=contains, matches=matches)
         if not_equals is not None and tx.has(df, if_field):
-            conditions.append(~tx.equals(df, if_field, not_equals))
-        doomed = tx.any_of(conditions)
-    else:
-        # "Drop all except" when only unless_* is given, thinning when only a percentage is.
-        doomed = F.lit(True)
+            doomed.conditions.append((tx.field(if_field), ~tx.equals(df, if_field, not_equals)))
+        keep.append(doomed.absent)
+    # Without if_field all rows are meant: "drop all except" with unless_*, thinning with a percentage.
     if percentage:
         keys = [key] if isinstance(key, str) else key
-        doomed = doomed & draw(percentage / 100.0, seed, keys)
+        keep.append(~draw(percentage / 100.0, seed, keys))
     elif percentage is not None and not if_field and not unless_field:
-        doomed = F.lit(False)
-    doomed = doomed & ~protected
-    return Effect(df, keep=~doomed, applied=doomed)
+        keep.append(F.lit(True))
+    kept = reduce(lambda a, b: a | b, keep) if keep else F.lit(False)
+    return Effect(df, keep=kept, applied=~tx.is_true(kept))
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -165,16 +185,19 @@ def conditional(df: DataFrame, field: str, operator: str, value: Any = None, act
     elif not present:
         met = F.lit(operator in ("ne", "not_contains"))
     elif operator in ("eq", "ne"):
-        same = tx.is_true(tx.equals(df, field, value))
-        met = ~same if operator == "ne" else same
+        same = tx.equals(df, field, value)
+        met = tx.field(field).isNull() | ~same if operator == "ne" else same
     elif operator in ("contains", "not_contains"):
-        inside = tx.is_true(tx.field_text(df, field).contains(tx.config_text(value)))
-        met = ~inside if operator == "not_contains" else inside
+        inside = tx.field_text(df, field).contains(tx.config_text(value))
+        met = tx.field(field).isNull() | ~inside if operator == "not_contains" else inside
     else:
-        met = tx.is_true(_compare(df, field, operator, value))
+        met = _compare(df, field, operator, value)
     if action == "keep":
         return Effect(df, keep=met)
-    return Effect(df, keep=~met if action == "drop" else F.lit(True))
+    # Where only a missing field makes the condition NULL, the negation can stay a plain comparison.
+    plain = present and (operator in ("eq", "contains") or isinstance(tx.type_of(df, field), tx.NUMERIC))
+    unmet = tx.field(field).isNull() | ~met if plain else ~tx.is_true(met)
+    return Effect(df, keep=unmet if action == "drop" else F.lit(True))
 
 
 @operator("conditional_field")
@@ -221,11 +244,14 @@ def conditional_field(
             "ends_with": lambda: shown.endswith(wanted),
             "matches": lambda: rx.matches(shown, wanted),
         }[operator]()
+    if action in ("drop_record", "keep_record"):
+        wanted = ~met if action == "drop_record" else met
+        if present and operator not in ("exists", "not_exists"):
+            keep = tx.field(field).isNull() | wanted
+        else:
+            keep = ~relevant | wanted
+        return Effect(df, keep=keep, applied=tx.is_true(met) if action == "drop_record" else relevant)
     met = tx.is_true(met)
-    if action == "drop_record":
-        return Effect(df, keep=~met, applied=met)
-    if action == "keep_record":
-        return Effect(df, keep=~relevant | met, applied=relevant)
     if not present:
         filled = {field: F.when(met, literal(replace_with))} if action == "replace" else {}
         return Effect(df, sets=filled, applied=met if filled else F.lit(False))

@@ -45,7 +45,7 @@ def test_missing_fields_in_predicates(spark):
     assert ids(ef.conditional_field(df, field="f", operator="not_exists", action="drop_record")) == [2]
     assert [r.f for r in ef.conditional_field(df, field="f", operator="exists").collect()] == [None, None]
     assert ids(ef.json_validate(df, source_field="f")) == []
-    assert df.select(matcher(df, field="id", equals="2").alias("m")).collect()[1].m is True
+    assert df.select(matcher(df, field="id", equals="2").found.alias("m")).collect()[1].m is True
 
 
 @pytest.mark.parametrize(
