@@ -172,7 +172,8 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     The optimizer copies a projected expression into every later filter and projection that uses it;
     it does not do so with the output of an explode, here of a one-element array.
     """
-    return df.withColumn(name, F.explode(F.array(value)))
+    # Computed by a projection of its own, which shares common parts of the expression.
+    return df.withColumn("_once", value).withColumn(name, F.explode(F.array("_once"))).drop("_once")
 
 
 def unchanged(df: DataFrame) -> Effect:

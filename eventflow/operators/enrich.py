@@ -189,26 +189,47 @@ def _bucket_of(ip: Column) -> Column:
     return F.when(ip.startswith(net.V4_PREFIX), F.left(ip, F.lit(28))).otherwise(F.left(ip, F.lit(8)))
 
 
-def _bucketed(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ranges by the buckets they touch: those of few fine buckets, and very wide ones by 16 bits."""
-    v4 = F.col("_start").startswith(net.V4_PREFIX)
-    digits = F.when(v4, F.lit(4)).otherwise(F.lit(8))
-    prefix = F.when(v4, F.lit(net.V4_PREFIX)).otherwise(F.lit(""))
-    at = F.when(v4, F.lit(25)).otherwise(F.lit(1))
-    number = lambda c, size: F.conv(F.substring(c, at, size), 16, 10).cast("bigint")
-    fine = ranges.withColumn("_from", number(F.col("_start"), digits)).withColumn("_to", number(F.col("_end"), digits))
-    narrow = F.col("_to") - F.col("_from") <= 65536
-
-    def spread(rows: DataFrame, size: Column, lead: Column) -> DataFrame:
-        step = rows.withColumn("_n", F.explode(F.sequence("_from", "_to")))
-        bucket = F.concat(lead, F.lpad(F.lower(F.hex("_n")), size, F.lit("0")))
-        return step.withColumn("_bucket", bucket).select("_bucket", "_start", "_end", "_geo")
-
-    small = spread(fine.where(narrow), digits, prefix)
-    wide = fine.where(~narrow)
-    four = lambda c: F.conv(F.left(c, F.lit(4)), 16, 10).cast("bigint")
-    coarse = wide.withColumn("_from", four(F.col("_start"))).withColumn("_to", four(F.col("_end")))
-    return small, spread(coarse, F.lit(4), F.lit(""))
+def _hex_number(value: Column) -> Column:
+    return F.conv(value, 16, 10).cast("bigint")
+
+
+def _with_bucket_numbers(ranges: DataFrame) -> DataFrame:
+    """Add the numbers of the first and last bucket that a range touches, and whether that is many."""
+    digits = lambda c: F.when(F.col("_v4"), F.substring(c, 25, 4)).otherwise(F.left(c, F.lit(8)))
+    numbered = ranges.withColumn("_v4", F.col("_start").startswith(net.V4_PREFIX))
+    numbered = numbered.withColumns({"_from": _hex_number(digits("_start")), "_to": _hex_number(digits("_end"))})
+    return numbered.withColumn("_wide", F.col("_to") - F.col("_from") > 65536)
+
+
+def _fine_buckets(ranges: DataFrame) -> DataFrame:
+    """One row per range and bucket."""
+    rows = ranges.where("NOT _wide").withColumn("_n", F.explode(F.sequence("_from", "_to")))
+    number = F.lower(F.hex("_n"))
+    bucket = F.when(F.col("_v4"), F.concat(F.lit(net.V4_PREFIX), F.lpad(number, 4, "0"))).otherwise(F.lpad(number, 8, "0"))
+    return rows.select(bucket.alias("_bucket"), "_start", "_end", "_geo")
+
+
+def _coarse_buckets(ranges: DataFrame) -> DataFrame:
+    """The same by 16 bits, for the few ranges that touch too many fine buckets."""
+    first = lambda c: _hex_number(F.left(c, F.lit(4)))
+    rows = ranges.where("_wide").withColumn("_n", F.explode(F.sequence(first("_start"), first("_end"))))
+    return rows.select(F.lpad(F.lower(F.hex("_n")), 4, "0").alias("_bucket"), "_start", "_end", "_geo")
+
+
+def _range_sizes(ranges: DataFrame) -> tuple[bool, bool, bool]:
+    """Whether the fine and the coarse side are small enough to broadcast, and whether there are wide ranges."""
+    buckets = F.col("_to") - F.col("_from") + 1
+    row = F.octet_length(F.to_json("_geo")).cast("bigint") + 100
+    sizes = ranges.agg(
+        F.sum(F.when(~F.col("_wide"), buckets)).alias("rows"),
+        F.sum(F.when(~F.col("_wide"), buckets * row)).alias("bytes"),
+        F.count_if("_wide").alias("wide"),
+        F.sum(F.when(F.col("_wide"), row)).alias("wide_bytes"),
+    ).first()
+    fine = (sizes["rows"] or 0) <= BROADCAST_ROWS and (sizes["bytes"] or 0) <= BROADCAST_BYTES
+    # Wide ranges do not overlap, so they touch at most 65,536 coarse buckets plus one each.
+    coarse = sizes["wide"] <= BROADCAST_ROWS and (sizes["wide_bytes"] or 0) <= BROADCAST_BYTES
+    return fine, coarse, sizes["wide"] > 0
 
 
 def _range_join(df: DataFrame, bucket: Column, ranges: DataFrame, out: str, broadcast: bool) -> DataFrame:
@@ -262,16 +283,16 @@ def geoip(
         elif key and column in table.columns:
             members[key] = F.col(column)
     geo = F.struct(*[c.alias(n) for n, c in members.items()]) if members else F.struct(F.lit(True).alias("known"))
-    ranges = table.select(
-        net.ip_hex(F.col("start_ip")).alias("_start"), net.ip_hex(F.col("end_ip")).alias("_end"), geo.alias("_geo")
-    ).where(F.col("_start") <= F.col("_end"))
-    fine, coarse = _bucketed(ranges)
-    small = fits_broadcast(fine) if broadcast is None else broadcast
+    ranges = once(table.select("start_ip", "end_ip", geo.alias("_geo")), "_start", net.ip_hex(F.col("start_ip")))
+    ranges = once(ranges, "_end", net.ip_hex(F.col("end_ip"))).where("_start <= _end").drop("start_ip", "end_ip")
+    ranges = _with_bucket_numbers(ranges)
+    small, small_wide, wide = (broadcast, broadcast, True) if broadcast is not None else _range_sizes(ranges)
     located = once(df, "_ip", net.ip_hex(source))
-    located = _range_join(located, _bucket_of(F.col("_ip")), fine, "_geo_fine", small)
-    # Wide ranges cover at most 65,536 coarse buckets in all, for they do not overlap.
-    located = _range_join(located, F.left(F.col("_ip"), F.lit(4)), coarse, "_geo_wide", True if small else fits_broadcast(coarse))
-    found = F.coalesce(F.col("_geo_fine"), F.col("_geo_wide"))
+    located = _range_join(located, _bucket_of(F.col("_ip")), _fine_buckets(ranges), "_geo_fine", small)
+    found = F.col("_geo_fine")
+    if wide:
+        located = _range_join(located, F.left(F.col("_ip"), F.lit(4)), _coarse_buckets(ranges), "_geo_wide", small_wide)
+        found = F.coalesce(found, F.col("_geo_wide"))
     value = found
     if tx.has(df, target_field) and tx.type_of(df, target_field) == tx.type_of(located, "_geo_fine"):
         value = F.coalesce(found, tx.field(target_field))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..operators.enrich import fits_broadcast, lookup_join
 
 # File-name hints (each names its own format) and the binary ones among them.
 FORMAT_HINTS = [
@@ -121,10 +122,11 @@ def select_source_files(files: DataFrame, tenants: DataFrame, path_col: str = "p
     ``tenants`` has ``tenant_id``, ``active`` and ``dataset_id`` (NULL: all datasets of the tenant).
     """
     keyed = with_path_metadata(files, path_col).where(~F.coalesce(F.col("filename"), F.lit("")).endswith(".ndjson.gz"))
-    active = tenants.where("active").select("tenant_id", "dataset_id")
-    every = active.where("dataset_id IS NULL").select("tenant_id").distinct().withColumn("_every", F.lit(True))
-    listed = active.where("dataset_id IS NOT NULL").distinct().withColumn("_listed", F.lit(True))
-    # Both sides are unique per key, so the left joins add no rows; Spark broadcasts them if small.
-    marked = keyed.join(every, "tenant_id", "left").join(listed, ["tenant_id", "dataset_id"], "left")
+    separator = F.lit("\u0000")
+    whole = F.concat("tenant_id", separator, F.coalesce("dataset_id", F.lit("")))
+    allowed = tenants.where("active").select(whole.alias("_key")).distinct().withColumn("_row", F.lit(True))
+    small = fits_broadcast(tenants)
+    marked = lookup_join(keyed, F.concat("tenant_id", separator), allowed, small, "_every")
+    marked = lookup_join(marked, F.concat("tenant_id", separator, "dataset_id"), allowed, small, "_listed")
     kept = marked.where(F.col("_every").isNotNull() | F.col("_listed").isNotNull())
     return kept.select(*[tx.field(c) for c in keyed.columns])

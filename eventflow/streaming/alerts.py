@@ -68,7 +68,7 @@ def alert_stream(
         before = _read(spark, f"{state_path}/results/batch={batch_id - 1}") if batch_id else None
         silent = _read(spark, f"{state_path}/silence/batch={batch_id - 1}") if batch_id else None
         rows = fresh if before is None else before.unionByName(fresh)
-        rated = failure_rate(rows, "_failed", ("_seq", *order), window_size, by)
+        rated = failure_rate(rows, "_failed", ("_seq", *order), window_size, by, next_of="_at")
         now = rated.where(F.col("_seq") == batch_id)
         alerts = failure_alerts(
             now, "_at", ("_seq", *order), threshold, minimum_samples, cooldown_seconds, check_seconds, by, silent

@@ -150,7 +150,7 @@ def _rates(spark, sf):
         F.expr("concat('d', user_id % 2)").alias("dataset_id"),
         (F.col("event_type") == "error").alias("failed"),
     )
-    return ef.failure_rate(df, "failed", ("ts", "event_id"))
+    return ef.failure_rate(df, "failed", ("ts", "event_id"), next_of="ts")
 
 
 @query(
