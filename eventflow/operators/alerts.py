@@ -84,7 +84,7 @@ def check_points(
     check = check_of(time_column)
     if tx.has(rates, "_next"):
         # Only the last result of a check (and of a range) can be the one the check sees.
-        rates = rates.where(F.col("_next").isNull() | (check_of("_next") > check))
+        rates = rates.where(F.col("_next").isNull() | (check_of("_next") != check))
     last = F.struct(*[tx.field(o) for o in order_by])
     state = F.struct("recent_samples", "recent_failures", "failure_rate")
     checked = rates.groupBy(*[tx.field(k) for k in by], check.alias("check_second")).agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..functions import json_text as js
 from ..functions import text as tx
-from .paths import path_metadata
+from ..operators.parse import parse
+from .paths import FORMAT_PARSERS, path_metadata, with_format_hint
 
 _BAD = "_corrupt"
 
@@ -107,6 +109,43 @@ def read_events_stream(
     return decode_lines(lines, schema, keep_raw)
 
 
+def promote(df: DataFrame, schema: str | T.StructType, record: str = "record") -> DataFrame:
+    """Columns for the declared members of a VARIANT record; the record itself stays."""
+    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    member = lambda f: F.try_variant_get(tx.field(record), f"$[{json.dumps(f.name)}]", f.dataType.simpleString())
+    return df.withColumns({f.name: member(f) for f in wanted.fields})
+
+
+def parse_by_hint(
+    lines: DataFrame,
+    name_col: str = "_file",
+    source_field: str = "value",
+    settings: dict[str, dict] | None = None,
+    formats: list[str] | None = None,
+    **parse_options,
+) -> DataFrame:
+    """Parse every line with the parser that its file name hints at.
+
+    The formats (all with a parser by default) are branches of one plan that differ in their
+    file-name filter; lines of other formats are parsed as raw text.  ``settings`` holds parser
+    settings by format.
+    """
+    named = [f for f in (formats or FORMAT_PARSERS) if f != "raw"]
+    hinted = with_format_hint(lines, name_col)
+    known = F.col("format").isin(named)
+    out = parse(hinted.where(~known), parser_name="raw", source_field=source_field, **parse_options)
+    for form in named:
+        branch = parse(
+            hinted.where(F.col("format") == form),
+            parser_name=FORMAT_PARSERS[form],
+            source_field=source_field,
+            settings=(settings or {}).get(form),
+            **parse_options,
+        )
+        out = out.unionByName(branch, allowMissingColumns=True)
+    return out
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],

@@ -15,7 +15,7 @@ FORMAT_HINTS = [
 ]
 BINARY_HINTS = ["sflow", "netflow", "ipfix"]
 
-# Format -> parser of the parse step, for formats that have one.
+# Format -> parser of the parse step, for the formats that have one.
 FORMAT_PARSERS = {
     "ndjson": "ndjson",
     "csv": "csv",

@@ -99,6 +99,35 @@ def _(spark, sf):
     return ef.with_format_hint(df, "name").drop("name")
 
 
+@query(
+    "parse_by_hint",
+    """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'apache' WHEN 1 THEN 'syslog' WHEN 2 THEN 'influx' ELSE 'iis' END AS format,
+       CASE event_id % 4 WHEN 0 THEN 'h' || user_id END AS remote_addr, CASE event_id % 4 WHEN 1 THEN event_type END AS message,
+       CASE event_id % 4 WHEN 2 THEN event_type END AS measurement, CASE event_id % 4 WHEN 3 THEN 'raw' || user_id END AS raw FROM events""",
+)
+def _(spark, sf):
+    name = "concat('t--d--', element_at(array('apache', 'syslog', 'influx', 'iis'), cast(event_id % 4 + 1 AS int)), '.gz')"
+    line = """CASE event_id % 4 WHEN 0 THEN concat('h', user_id, ' - - [t] "r" 200 1') WHEN 1 THEN concat('<1>Jan  1 00:00:00 h ', event_type)
+        WHEN 2 THEN concat(event_type, ' v=1') ELSE concat('raw', user_id) END"""
+    lines = table(spark, sf, "events").select("event_id", F.expr(name).alias("_file"), F.expr(line).alias("value"))
+    out = ef.parse_by_hint(lines, formats=["apache", "syslog", "influx"])
+    of = lambda form, name: F.when(F.col("format") == form, F.col(name)).alias(name)
+    return out.select(
+        "event_id", "format", "remote_addr", of("syslog", "message"), "measurement", of("iis", "raw")
+    )
+
+
+@query(
+    "promote_variant",
+    """SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS absent FROM events""",
+)
+def _(spark, sf):
+    df = table(spark, sf, "events").select(
+        F.parse_json(F.expr("concat('{\"event_id\":', event_id, ',\"event_type\":\"', event_type, '\",', substr(props, 2))")).alias("record")
+    )
+    return ef.promote(df, "event_id bigint, event_type string, k bigint, absent string").drop("record")
+
+
 @query(
     "select_source_files",
     f"""SELECT event_id, tenant_id FROM {EVENTS} WHERE event_id % 5 = 1
