@@ -21,8 +21,10 @@ from .effect import Effect, once, operator, require, unchanged
 # Largest look-up side that is broadcast.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
-# Keys counted as hot in the shuffle join, and the partitions a hot key is spread over.
+# Keys treated as hot in the shuffle join, the share of rows looked at to find them, and the
+# partitions a hot key is spread over.  Any choice of keys gives the same result.
 HOT_KEYS = 1024
+HOT_LOOK = 0.01
 SPREAD = 4096
 RANGE_SALTS = 16
 
@@ -57,11 +59,20 @@ def lookup_join(df: DataFrame, key: Column, lookup: DataFrame, broadcast: bool,
     marked = df.withColumn("_lkey", key)
     if broadcast:
         return marked.join(F.broadcast(right), F.col("_lkey") == F.col("_rkey"), "left").drop("_lkey", "_rkey")
-    # Keys of many rows are found first (at most HOT_KEYS of them, so that side is bounded) and
-    # joined by broadcast; their rows and those without a key then go to random partitions of the
-    # shuffle join, where they match nothing.
+    right_slotted = right.withColumn("_rslot", F.lit(0))
+    matches = (F.col("_lkey") == F.col("_rkey")) & (F.col("_slot") == F.col("_rslot"))
+    # The partition id depends on the row's task alone, so a retried task spreads alike.
+    slot = 1 + F.spark_partition_id() % SPREAD
+    if df.isStreaming:
+        # Key counts would be state on a stream; big look-ups run per micro-batch instead (run_stream).
+        near = marked.withColumn("_slot", F.when(F.col("_lkey").isNull(), slot).otherwise(0))
+        return near.join(right_slotted, matches, "left").select(*[tx.field(c) for c in df.columns], tx.field(out))
+    # Likely hot keys (at most HOT_KEYS of them, so that side is bounded) are joined by broadcast;
+    # their rows and those without a key then go to many partitions of the shuffle join, where they
+    # match nothing.  Only the search for these keys looks at a share of the rows; the joins take all.
     hot = (
         marked.where(F.col("_lkey").isNotNull())
+        .sample(fraction=HOT_LOOK, seed=1)
         .groupBy("_lkey")
         .count()
         .orderBy(F.desc("count"), "_lkey")
@@ -72,13 +83,8 @@ def lookup_join(df: DataFrame, key: Column, lookup: DataFrame, broadcast: bool,
     hot_keys = hot.join(hot_rows, "_hot", "left")
     near = marked.join(F.broadcast(hot_keys.withColumn("_is_hot", F.lit(True))), F.col("_lkey") == F.col("_hot"), "left")
     settled = F.col("_lkey").isNull() | F.col("_is_hot").isNotNull()
-    # The partition id depends on the row's task alone, so a retried task spreads alike.
-    near = near.withColumn("_slot", F.when(settled, 1 + F.spark_partition_id() % SPREAD).otherwise(0))
-    joined = near.join(
-        right.withColumn("_rslot", F.lit(0)),
-        (F.col("_lkey") == F.col("_rkey")) & (F.col("_slot") == F.col("_rslot")),
-        "left",
-    )
+    near = near.withColumn("_slot", F.when(settled, slot).otherwise(0))
+    joined = near.join(right_slotted, matches, "left")
     found = F.coalesce(F.col("_hot_row"), F.col(out))
     return joined.select(*[tx.field(c) for c in df.columns], found.alias(out))
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -119,10 +120,17 @@ def route(
 ) -> DataFrame:
     """Run every (tenant, dataset) through its own chain; others take ``fallback`` (default chain).
 
-    Datasets with the same specification share one branch, so the input is read once per different
-    specification.
+    Datasets with the same specification share one branch.  Branches differ in a plain condition on
+    the two keys, so a table partitioned by them is read once in all: each branch reads its own files.
     """
     tenant, dataset = (tx.field(k) for k in keys)
+
+    def among(members) -> Column:
+        by_tenant: dict[str, list[str]] = {}
+        for t, d in members:
+            by_tenant.setdefault(t, []).append(d)
+        return reduce(lambda a, b: a | b, [(tenant == t) & dataset.isin(d) for t, d in by_tenant.items()], F.lit(False))
+
     branches: list[tuple[ChainSpec, list[tuple[str, str]]]] = []
     for key, source in specs.items():
         spec = as_spec(source)
@@ -133,10 +141,9 @@ def route(
             same[1].append(key)
     routed = []
     for spec, members in branches:
-        wanted = tx.any_of([(tenant == t) & (dataset == d) for t, d in members])
-        routed.append(run_pipeline(df.where(wanted), spec, tables))
-    known = tx.any_of([(tenant == t) & (dataset == d) for t, d in specs])
-    routed.append(run_pipeline(df.where(~known), fallback, tables))
+        routed.append(run_pipeline(df.where(among(members)), spec, tables))
+    others = tenant.isNull() | dataset.isNull() | ~among(specs)
+    routed.append(run_pipeline(df.where(others), fallback, tables))
     result = routed[0]
     for other in routed[1:]:
         result = result.unionByName(other, allowMissingColumns=True)

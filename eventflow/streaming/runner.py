@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as tx
+from ..operators.enrich import fits_broadcast
 from ..plans.chain import run_pipeline
 from ..plans.spec import ChainSpec, as_spec
 from ..sources.sinks import PARTITIONS, event_lines, write_events_stream
@@ -17,12 +18,22 @@ from ..sources.sinks import PARTITIONS, event_lines, write_events_stream
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def row_local(spec: ChainSpec | dict | str | list | None) -> bool:
-    """Whether a chain runs directly on a stream: no step that aggregates or joins back its own rows."""
-    if spec is None:
-        return True
-    shuffling = lambda f: f.type == "useragent" and f.config.get("distinct")
-    return not any(shuffling(f) for f in as_spec(spec).active)
+def row_local(spec: ChainSpec | dict | str | list | None, tables: dict[str, DataFrame] | None = None) -> bool:
+    """Whether a chain runs directly on a stream.
+
+    Not so with a step that joins back its own rows, or with a look-up too big to broadcast, whose
+    hot keys can only be found within a batch.
+    """
+
+    def per_batch(f) -> bool:
+        if f.type == "useragent":
+            return bool(f.config.get("distinct"))
+        if f.type in ("enricher", "dns"):
+            name = f.config.get("enricher_id") or f.config.get("enrichment") or f.config.get("table", "dns")
+            return name in (tables or {}) and not fits_broadcast(tables[name])
+        return False
+
+    return spec is None or not any(per_batch(f) for f in as_spec(spec).active)
 
 
 def run_stream(
@@ -41,7 +52,7 @@ def run_stream(
     run per micro-batch, whose output folder is named by the batch so that a repeated batch
     overwrites its own output.
     """
-    if row_local(spec):
+    if row_local(spec, tables):
         return write_events_stream(
             run_pipeline(stream, spec, tables, **context), path, checkpoint, partition_by, trigger=trigger
         )

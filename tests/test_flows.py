@@ -130,6 +130,27 @@ def test_conditions_guard_every_kind_of_step(spark):
     assert rows == [(1, "a", "x"), (1, "b", "x"), (2, "c,d", "-")]
 
 
+def test_route_reads_only_its_partitions(spark, tmp_path):
+    df = spark.range(30).selectExpr("id", "concat('t', id % 3) AS tenant_id", "concat('d', id % 2) AS dataset_id")
+    df.write.partitionBy("tenant_id", "dataset_id").parquet(str(tmp_path / "in"))
+    mark = [{"type": "add_field", "config": {"field": "m", "value": "x"}}]
+    out = ef.route(spark.read.parquet(str(tmp_path / "in")), {("t0", "d0"): mark, ("t1", "d1"): mark}, fallback={"filters": []})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [((") == 2
+    assert {(r.id % 3, r.id % 2) for r in out.collect() if r.m} == {(0, 0), (1, 1)} and out.count() == 30
+
+
+def test_big_lookup_on_stream(spark, tmp_path):
+    spark.range(20).selectExpr("concat('k', id % 4) AS k", "id").write.parquet(str(tmp_path / "in"))
+    lookup = spark.createDataFrame([("k1", "one")], "k string, v string")
+    stream = spark.readStream.schema("k string, id bigint").parquet(str(tmp_path / "in"))
+    out = ef.enricher(stream, enricher_id="l", source_field="k", target_field="e", tables={"l": lookup}, broadcast=False)
+    run = out.select("id", "e.v").writeStream.format("memory").queryName("big_lookup").trigger(availableNow=True).start()
+    run.awaitTermination()
+    rows = spark.table("big_lookup").collect()
+    assert len(rows) == 20 and {r.id for r in rows if r.v == "one"} == {1, 5, 9, 13, 17}
+
+
 def test_catalogue_small(spark, sf):
     """Every catalogued query agrees with its DuckDB equivalent on the smallest tables."""
     import sys, os
