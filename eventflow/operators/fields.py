@@ -210,23 +210,24 @@ def json_flatten(
     else:
         text = tx.text(value, kind)
     prepared = once(df, "_doc", js.wrapped_json(text))
-    prepared = once(prepared, "_valid", js.is_complete(F.col("_doc")))
-    prepared = once(
-        prepared, "_root", F.when(F.col("_valid"), F.try_variant_get("_doc", "$[0]", "map<string,variant>"))
-    )
+    valid = js.is_complete(F.col("_doc"))
+    members = F.when(valid, F.try_variant_get("_doc", "$[0]", "map<string,variant>"))
+    prepared = once(prepared, "_root", F.struct(valid.alias("valid"), members.alias("members")))
+    root = F.col("_root.members")
     # An object without inner objects and arrays is its own result.
     flat = (js.nesting_bound(text) <= 1) & ~text.contains("[")
     leaves = (
-        F.when(F.col("_root").isNull(), F.create_map(F.lit("value"), F.try_variant_get("_doc", "$[0]", "variant")))
-        .when(flat, F.col("_root"))
-        .otherwise(js.flatten_object(F.col("_root"), js.nesting_bound(text), separator))
+        F.when(~F.col("_root.valid"), F.lit(None))
+        .when(root.isNull(), F.create_map(F.lit("value"), F.try_variant_get("_doc", "$[0]", "variant")))
+        .when(flat, root)
+        .otherwise(js.flatten_object(root, js.nesting_bound(text), separator))
     )
-    prepared = once(prepared, "_leaves", F.when(F.col("_valid"), leaves))
+    prepared = once(prepared, "_leaves", leaves)
     result = tx.field("_leaves")
     if tx.has(df, target) and tx.type_of(df, target) == T.MapType(T.StringType(), T.VariantType()):
         result = F.coalesce(result, tx.field(target))
     return Effect(
-        prepared, sets={target: result}, applied=F.col("_valid"), temps=("_doc", "_valid", "_root", "_leaves")
+        prepared, sets={target: result}, applied=F.col("_root.valid"), temps=("_doc", "_root", "_leaves")
     )
 
 

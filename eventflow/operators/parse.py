@@ -333,7 +333,9 @@ def parse(
         reason = F.when(tx.field("_in").isNull(), f"source field '{source_field}' not found").otherwise(
             f"line does not match {parser_name or 'any'} format"
         )
-        sets["_parse_failure"] = F.when(~done, reason)
+        # The tag of an earlier parse step stays.
+        earlier = tx.field("_parse_failure") if tx.is_string(df, "_parse_failure") else F.lit(None).cast("string")
+        sets["_parse_failure"] = F.coalesce(F.when(~done, reason), earlier)
     return Effect(
         prepared,
         sets=sets,

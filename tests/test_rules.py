@@ -217,6 +217,18 @@ def test_parse_failure_policies(row, spark):
         ef.parse(spark.createDataFrame([("x",)], "message string"), parser_name="sflow")
 
 
+def test_failure_tag_of_earlier_step_stays(spark):
+    df = spark.createDataFrame([("x",)], "message string")
+    both = ef.parse(ef.parse(df, parser_name="cef"), parser_name="plaintext")
+    assert both.first()._parse_failure == "line does not match cef format"
+
+
+def test_preview_takes_the_first_rows(spark):
+    out = ef.preview(spark.range(50).selectExpr("id", "cast(id AS string) AS m"), [{"type": "exclude", "config": {"field": "m", "equals": "1"}}], "id", 3)
+    assert sorted((r._input, r._skipped) for r in out.collect()) == [
+        ('{"id":0,"m":"0"}', False), ('{"id":1,"m":"1"}', True), ('{"id":2,"m":"2"}', False)]
+
+
 def test_apache_dash_size_and_ndjson(row):
     line = '1.1.1.1 - - [x] "GET / HTTP/1.1" 404 -'
     assert row(ef.parse, "message string", (line,), parser_name="apache")[0]["body_size"] == "0"
