@@ -37,7 +37,7 @@ def strict_json(value: Column) -> Column:
 
 def is_json(value: Column) -> Column:
     """Whether a text is valid JSON of any kind; FALSE for NULL."""
-    return is_complete(wrapped_json(value))
+    return F.coalesce(let(wrapped_json(value), is_complete), F.lit(False))
 
 
 def as_object(value: Column) -> Column:

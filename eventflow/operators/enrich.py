@@ -362,41 +362,41 @@ def _by_rules(agent: Column, rules: list[dict[str, str]], parts: list[str]) -> C
     return other if chain is None else chain.otherwise(other)
 
 
-def agent_info(agent: Column, rules: list[dict[str, str]]) -> Column:
-    """Struct of browser, operating system and device of a user-agent text, NULL for NULL."""
+def matched_rules(agent: Column, rules: list[dict[str, str]]) -> Column:
+    """Struct of the first matching agent, system and device rule."""
     of = lambda kind: [r for r in rules if r["kind"] == kind]
-    dotted = lambda x: F.when(x["major"].isNotNull(), F.concat_ws(".", x["major"], x["minor"], F.when(x["minor"].isNotNull(), x["patch"])))
     parts = ["family", "major", "minor", "patch"]
-    found = F.struct(
+    return F.struct(
         _by_rules(agent, of("agent"), parts).alias("a"),
         _by_rules(agent, of("os"), parts).alias("o"),
         _by_rules(agent, of("device"), ["family", "brand", "model"]).alias("d"),
     )
 
-    def build(x: Column) -> Column:
-        a, o, d = x["a"], x["o"], x["d"]
-        device = (
-            F.when(d["family"] != "Other", d["family"])
-            .when(o["family"].isin(MOBILE_SYSTEMS), "Mobile")
-            .when(o["family"].isin(DESKTOP_SYSTEMS), "Desktop")
-            .otherwise("Other")
-        )
-        return F.struct(
-            a["family"].alias("name"),
-            dotted(a).alias("version"),
-            a["major"].alias("major"),
-            F.when(a["major"].isNotNull(), a["minor"]).alias("minor"),
-            F.when(a["major"].isNotNull(), a["patch"]).alias("patch"),
-            o["family"].alias("os"),
-            dotted(o).alias("os_version"),
-            o["major"].alias("os_major"),
-            F.when(o["major"].isNotNull(), o["minor"]).alias("os_minor"),
-            device.alias("device"),
-            d["brand"].alias("device_brand"),
-            d["model"].alias("device_model"),
-        )
 
-    return F.when(agent.isNotNull(), tx.let(found, build))
+def agent_info(x: Column) -> Column:
+    """Struct of browser, operating system and device out of :func:`matched_rules`."""
+    dotted = lambda x: F.when(x["major"].isNotNull(), F.concat_ws(".", x["major"], x["minor"], F.when(x["minor"].isNotNull(), x["patch"])))
+    a, o, d = x["a"], x["o"], x["d"]
+    device = (
+        F.when(d["family"] != "Other", d["family"])
+        .when(o["family"].isin(MOBILE_SYSTEMS), "Mobile")
+        .when(o["family"].isin(DESKTOP_SYSTEMS), "Desktop")
+        .otherwise("Other")
+    )
+    return F.struct(
+        a["family"].alias("name"),
+        dotted(a).alias("version"),
+        a["major"].alias("major"),
+        F.when(a["major"].isNotNull(), a["minor"]).alias("minor"),
+        F.when(a["major"].isNotNull(), a["patch"]).alias("patch"),
+        o["family"].alias("os"),
+        dotted(o).alias("os_version"),
+        o["major"].alias("os_major"),
+        F.when(o["major"].isNotNull(), o["minor"]).alias("os_minor"),
+        device.alias("device"),
+        d["brand"].alias("device_brand"),
+        d["model"].alias("device_model"),
+    )
 
 
 @operator("useragent")
@@ -418,10 +418,11 @@ def useragent(
     rules = AGENT_RULES if rules is None else rules
     agent = tx.field(source_field)
     if not distinct:
-        prepared = once(df, "_ua", agent_info(agent, rules))
-        return Effect(prepared, sets={target_field: F.col("_ua")}, applied=agent.isNotNull(), temps=("_ua",))
+        prepared = once(df, "_ua", F.when(agent.isNotNull(), matched_rules(agent, rules)))
+        info = F.when(F.col("_ua").isNotNull(), agent_info(F.col("_ua")))
+        return Effect(prepared, sets={target_field: info}, applied=agent.isNotNull(), temps=("_ua",))
     agents = df.select(agent.alias("_key")).where(F.col("_key").isNotNull()).distinct()
-    known = agents.withColumn("_row", agent_info(F.col("_key"), rules))
+    known = once(agents, "_ua", matched_rules(F.col("_key"), rules)).select("_key", agent_info(F.col("_ua")).alias("_row"))
     small = fits_broadcast(agents) if broadcast is None else broadcast
     joined = lookup_join(df, agent, known, small)
     return Effect(joined, sets={target_field: F.col("_found")}, applied=agent.isNotNull(), temps=("_found",))
