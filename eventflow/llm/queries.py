@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .base import ORACLES, QUERIES, query, table
 from .exact_dedup import exact_dedup
+from .mixing import mix
+from .sharding import reshard
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -20,3 +23,26 @@ __all__ = ["ORACLES", "QUERIES"]
 )
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
+
+
+# The present layout that op7 starts from: 12 shards by a hash of the text.
+OLD_SHARDS, SHARDS = 12, 16
+
+
+def present_shard() -> Column:
+    return F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS)).cast("int")
+
+
+@query("op7_sharding")
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    placed = reshard(docs, present_shard(), OLD_SHARDS, SHARDS, keep=["doc_id"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "moved"
+    )
