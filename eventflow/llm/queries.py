@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .base import ORACLES, QUERIES, query, table
 from .exact_dedup import exact_dedup
+from .jaccard_join import similar_documents
 from .mixing import mix
 from .sharding import reshard
 
@@ -46,3 +47,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "moved"
     )
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), k=4, over=85, under=100)
