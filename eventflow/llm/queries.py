@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .base import ORACLES, QUERIES, query, table
 from .exact_dedup import exact_dedup
 from .jaccard_join import similar_documents
+from .language_id import identify
 from .mixing import mix
 from .sharding import reshard
 
@@ -52,3 +53,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_jaccard_join")
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"), k=4, over=85, under=100)
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1
+    )
+    return identify(docs.select("doc_id", "held_out", "text"), docs.filter(~F.col("held_out")).select("doc_id", "text", "lang"))
