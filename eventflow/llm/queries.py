@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .base import ORACLES, QUERIES, query, table
 from .exact_dedup import exact_dedup
+from .html_text import extract
 from .jaccard_join import similar_documents
 from .language_id import identify
 from .mixing import mix
@@ -61,3 +62,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "held_out", F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1
     )
     return identify(docs.select("doc_id", "held_out", "text"), docs.filter(~F.col("held_out")).select("doc_id", "text", "lang"))
+
+
+@query("op6_html_text")
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
