@@ -6,29 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, store
 from .graph import components
-from .shingles import shingle_sets
+from .shingles import pieces, shingle_sets
 
 # Counters of the frequency sketch: 4 bytes each, the same at every size of input.
 SKETCH = 1 << 20
 SLICES = 16
-# Rows of a batch that are shingled at once hold at most so many characters, about.
-BATCH_CHARS = 8_000_000
-
-
-def _pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about BATCH_CHARS of text, so that few long texts do not make one large array."""
-    sizes = np.nan_to_num(np.asarray(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), float))
-    part = (np.cumsum(sizes) // BATCH_CHARS).astype(int)
-    starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()] if len(part) else []
-    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-        yield batch.slice(a, b - a)
 
 
 def frequency_sketch(texts: DataFrame, k: int) -> np.ndarray:
@@ -41,7 +29,7 @@ def frequency_sketch(texts: DataFrame, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            for piece in _pieces(batch, "text"):
+            for piece in pieces(batch, "text"):
                 values, _ = shingle_sets(piece.column("text"), k)
                 counters += np.bincount((values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
         for i, part in enumerate(np.split(counters, SLICES)):
@@ -82,7 +70,7 @@ def described_sets(docs: DataFrame, k: int, over: int, under: int, sketch) -> Da
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = sketch.value
         for batch in batches:
-            for piece in _pieces(batch, "text"):
+            for piece in pieces(batch, "text"):
                 values, offsets = shingle_sets(piece.column("text"), k)
                 n = np.diff(offsets)
                 row = np.repeat(np.arange(len(n)), n)
@@ -128,7 +116,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, over: int, under: int) -
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in _pieces(batch, "text"):
+            for piece in pieces(batch, "text"):
                 values, offsets = shingle_sets(piece.column("text"), k)
                 data = values.tobytes()
                 sets = [data[8 * a : 8 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]

@@ -11,6 +11,7 @@ from .html_text import extract
 from .jaccard_join import similar_documents
 from .language_id import identify
 from .mixing import mix
+from .quality import classify
 from .sharding import reshard
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -67,3 +68,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_html_text")
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return classify(docs, labels, keep=["doc_id", "source", "lang"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,6 +12,17 @@ import xxhash
 # Odd factors that tell the places in a shingle apart, and a finaliser that spreads the sum.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 SPREAD = np.uint64(0xFF51AFD7ED558CCD)
+# Rows of a batch that are taken at once hold so many bytes of text, about.
+PIECE_BYTES = 8_000_000
+
+
+def pieces(batch: pa.RecordBatch, column: str | int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about PIECE_BYTES of text, so that long texts do not make large arrays."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+    starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()] if len(part) else []
+    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
 
 
 def word_values(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
