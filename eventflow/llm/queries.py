@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import ORACLES, QUERIES, query, table
+from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .html_text import extract
 from .jaccard_join import similar_documents
@@ -74,3 +75,9 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return classify(docs, labels, keep=["doc_id", "source", "lang"])
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "length", "distance", "similarity")
