@@ -12,6 +12,7 @@ from .html_text import extract
 from .jaccard_join import similar_documents
 from .language_id import identify
 from .mixing import mix
+from .pii import replace_personal_data
 from .quality import classify
 from .sharding import reshard
 
@@ -81,3 +82,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "start", "length", "distance", "similarity")
+
+
+# The key of the registered query; a production run brings its own secret.
+SURROGATE_KEY = "eventflow-surrogates"
+
+
+@query("op8_pii_surrogates")
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return done.select("doc_id", "text", "n_entities", "kinds", "surrogates")
