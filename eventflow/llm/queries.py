@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .html_text import extract
 from .jaccard_join import similar_documents
 from .language_id import identify
+from .licenses import scan
 from .mixing import mix
 from .pii import replace_personal_data
 from .quality import classify
@@ -92,3 +93,8 @@ SURROGATE_KEY = "eventflow-surrogates"
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
     return done.select("doc_id", "text", "n_entities", "kinds", "surrogates")
+
+
+@query("op3_licenses")
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
