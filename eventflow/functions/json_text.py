@@ -115,11 +115,25 @@ def flatten_object(root: Column, depth_bound: Column, separator: str) -> Column:
     return last_wins_map(F.aggregate(deeper, top, level)["done"], "path")
 
 
-def nesting_bound(value: Column) -> Column:
-    """Upper bound of the object depth of a JSON text: its count of opening braces."""
+def brace_count(value: Column) -> Column:
+    """Opening braces of a JSON text."""
     return F.length(value) - F.length(F.replace(value, F.lit("{")))
 
 
+def nesting_depth(value: Column) -> Column:
+    """Object depth of a JSON text: the most braces that are open at once, those in strings left out."""
+    bare = F.regexp_replace(F.regexp_replace(value, r'"(?:[^"\\]|\\.)*+"', ""), "[^{}]+", "")
+    # runs of braces are few next to braces: {{ }} counts as +2 -2
+    runs = F.regexp_extract_all(bare, F.lit(r"(\{+|\}+)"), F.lit(1))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
+
+    def step(state: Column, run: Column) -> Column:
+        at = state["at"] + F.when(run.startswith("{"), F.length(run)).otherwise(-F.length(run))
+        return F.struct(at.alias("at"), F.greatest(state["most"], at).alias("most"))
+
+    return F.aggregate(runs, start, step)["most"]
+
+
 def last_wins_map(nodes: Column, key: str, value: str = "value", first: bool = False) -> Column:
     """Map of an array of structs; of equal keys the last (or first) one stays.
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from .records import resolved
 
 
 @dataclass(frozen=True)
@@ -154,13 +155,19 @@ def operator(name: str):
     """Register a step builder under its type name and return the plain DataFrame operator."""
 
     def register(builder: Builder):
-        BUILDERS[name] = builder
+        @functools.wraps(builder)
+        def build(df: DataFrame, **config) -> Effect:
+            df, extra = resolved(df, name, config)
+            effect = builder(df, **config)
+            return replace(effect, temps=(*effect.temps, *extra)) if extra else effect
+
+        BUILDERS[name] = build
 
         @functools.wraps(builder)
         def run(df: DataFrame, **config) -> DataFrame:
-            return builder(df, **config).run()
+            return build(df, **config).run()
 
-        run.build = builder
+        run.build = build
         return run
 
     return register

@@ -10,6 +10,7 @@ from ..functions import json_text as js
 from ..functions import regex as rx
 from ..functions import text as tx
 from .effect import Effect, once, operator, require, unchanged
+from .records import MISTYPED, REST, upper_json_keys
 
 
 def template_variables(
@@ -127,6 +128,12 @@ def _upper_keys(value: Column, kind: T.DataType, recursive: bool) -> Column:
             ),
         )
         return js.last_wins_map(entries, "key")
+    if isinstance(kind, T.VariantType) and recursive:
+        return F.try_parse_json(upper_json_keys(F.to_json(value)))
+    if isinstance(kind, T.VariantType):
+        members = F.map_entries(js.as_object(value))
+        upper = js.last_wins_map(F.transform(members, lambda e: F.struct(F.upper(e["key"]).alias("key"), e["value"].alias("value"))), "key")
+        return F.when(js.as_object(value).isNull(), value).otherwise(F.to_variant_object(upper))
     return value
 
 
@@ -136,7 +143,7 @@ def uppercase_keys(df: DataFrame, source_field=None, recursive: bool = True) ->
     names = source_field if isinstance(source_field, list) else [source_field]
     names = [n for n in names if n and n != "*"]
     if names:
-        nested = [n for n in names if tx.has(df, n) and isinstance(tx.type_of(df, n), (T.StructType, T.MapType))]
+        nested = [n for n in names if tx.has(df, n) and isinstance(tx.type_of(df, n), (T.StructType, T.MapType, T.VariantType))]
         return Effect(
             df,
             sets={n: _upper_keys(tx.field(n), tx.type_of(df, n), recursive) for n in nested},
@@ -144,7 +151,13 @@ def uppercase_keys(df: DataFrame, source_field=None, recursive: bool = True) ->
         )
     sets: dict[str, Column] = {}
     for f in df.schema.fields:
-        sets[f.name.upper()] = _upper_keys(tx.field(f.name), f.dataType, recursive) if recursive else tx.field(f.name)
+        if not f.name.startswith("_"):
+            sets[f.name.upper()] = _upper_keys(tx.field(f.name), f.dataType, recursive) if recursive else tx.field(f.name)
+    # the names of undeclared members, and the marks of declared ones
+    for name in (REST, MISTYPED):
+        if tx.has(df, name):
+            sets[name] = _upper_keys(tx.field(name), tx.type_of(df, name), recursive)
+    sets = {**sets, **{c: tx.field(c) for c in df.columns if c.startswith("_") and c not in sets}}
     own = set(df.columns)
 
     # Spark resolves names without regard to case, so the record is rebuilt by a projection.
@@ -155,22 +168,54 @@ def uppercase_keys(df: DataFrame, source_field=None, recursive: bool = True) ->
     return Effect(df, whole=rebuild, local=True)
 
 
-def _leaves(value: Column, kind: T.DataType, name: str, separator: str, lengths: dict[str, int]):
-    """(path, column) of every leaf below a typed column."""
+def _leaves(value: Column, kind: T.DataType, name: str, separator: str, lengths: dict[str, int], open_: list):
+    """(path, column) of every leaf below a typed column.
+
+    Arrays, maps and variants have as many leaves as the data gives them; (path, first index, value) of these, and of the
+    elements past a declared length, go to ``open_``.
+    """
     if isinstance(kind, T.StructType):
         for f in kind.fields:
-            yield from _leaves(value.getField(f.name), f.dataType, name + separator + f.name, separator, lengths)
+            yield from _leaves(value.getField(f.name), f.dataType, name + separator + f.name, separator, lengths, open_)
     elif isinstance(kind, T.ArrayType) and name in lengths:
         for i in range(lengths[name]):
             item, path = F.get(value, F.lit(i)), f"{name}{separator}{i}"
-            if isinstance(kind.elementType, T.StructType):
-                yield from _leaves(item, kind.elementType, path, separator, lengths)
-            else:
-                yield path, item
+            yield from _leaves(item, kind.elementType, path, separator, lengths, open_)
+        open_.append((name, lengths[name], F.slice(value, lengths[name] + 1, F.greatest(F.lit(0), F.size(value) - lengths[name]))))
+    elif isinstance(kind, (T.ArrayType, T.VariantType)) or isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+        open_.append((name, None, value if isinstance(kind, T.VariantType) else F.to_variant_object(value)))
     else:
         yield name, value
 
 
+def _open_leaves(open_: list, rest: Column | None, separator: str) -> Column:
+    """``map<string,variant>`` of all leaves of values whose shape only the data tells."""
+    parts = []
+    for name, first, value in open_:
+        if first is None:
+            entries = F.array(F.struct(F.lit(name).alias("key"), value.alias("value")))
+        else:
+            entries = F.transform(value, _numbered(name + separator, first))
+        parts.append(F.coalesce(entries, F.array().cast("array<struct<key:string,value:variant>>")))
+    if rest is not None:
+        parts.append(F.coalesce(F.map_entries(rest), F.array().cast("array<struct<key:string,value:variant>>")))
+    root = F.filter(F.concat(*parts), lambda e: e["value"].isNotNull())
+    members = js.last_wins_map(root, "key")
+    return tx.let(members, lambda m: js.flatten_object(m, js.nesting_depth(F.to_json(m)), separator))
+
+
+def _numbered(path: str, first: int):
+    def entry(x: Column, i: Column) -> Column:
+        return F.struct(F.concat(F.lit(path), (i + first).cast("string")).alias("key"), _variant(x).alias("value"))
+
+    return entry
+
+
+def _variant(value: Column) -> Column:
+    """Variant of a value of any type."""
+    return F.try_variant_get(F.to_variant_object(F.array(value)), "$[0]", "variant")
+
+
 @operator("json_flatten")
 def json_flatten(
     df: DataFrame,
@@ -181,21 +226,23 @@ def json_flatten(
 ) -> Effect:
     """Flatten the whole record, or one object / JSON text field into a map.
 
-    Whole record: struct columns become one column per leaf.  Columns need a fixed number of
-    array elements, so an array is spread only when ``array_lengths`` declares its length;
-    otherwise it stays one array column.  With ``source_field`` the result is a
-    ``map<string,variant>`` of all leaves, whatever the data holds.
+    Whole record: struct columns become one column per leaf.  Columns need names known beforehand, so
+    the leaves of arrays, maps and variants become members of ``_rest`` (written as fields like the others),
+    however many there are.  ``array_lengths`` spreads the first elements of an array to columns.  With ``source_field``
+    the result is a ``map<string,variant>`` of all leaves, whatever the data holds.
     """
     separator = separator or "."
     if not source_field:
-        lengths = array_lengths or {}
+        lengths, open_ = array_lengths or {}, []
         sets: dict[str, Column] = {}
         drops: list[str] = []
         for f in df.schema.fields:
-            spread = isinstance(f.dataType, T.StructType) or f.name in lengths
-            if spread:
-                sets.update(_leaves(tx.field(f.name), f.dataType, f.name, separator, lengths))
+            if not f.name.startswith("_") and isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+                sets.update(_leaves(tx.field(f.name), f.dataType, f.name, separator, lengths, open_))
                 drops.append(f.name)
+        rest = tx.field(REST) if tx.has(df, REST) else None
+        if open_ or rest is not None:
+            sets[REST] = _open_leaves(open_, rest, separator)
         return Effect(df, sets=sets, drops=tuple(drops))
     if not tx.has(df, source_field):
         return unchanged(df)
@@ -215,12 +262,12 @@ def json_flatten(
     prepared = once(prepared, "_root", F.struct(valid.alias("valid"), members.alias("members")))
     root = F.col("_root.members")
     # An object without inner objects and arrays is its own result.
-    flat = (js.nesting_bound(text) <= 1) & ~text.contains("[")
+    flat = (js.brace_count(text) <= 1) & ~text.contains("[")
     leaves = (
         F.when(~F.col("_root.valid"), F.lit(None))
         .when(root.isNull(), F.create_map(F.lit("value"), F.try_variant_get("_doc", "$[0]", "variant")))
         .when(flat, root)
-        .otherwise(js.flatten_object(root, js.nesting_bound(text), separator))
+        .otherwise(js.flatten_object(root, js.nesting_depth(text), separator))
     )
     prepared = once(prepared, "_leaves", leaves)
     result = tx.field("_leaves")

@@ -104,8 +104,9 @@ def draw(rate: float, seed: int | None, keys: list[str] | None) -> Column:
         return F.lit(True)
     if keys:
         digest = F.md5(F.concat_ws("|", *[tx.field(k).cast("string") for k in keys]).cast("binary"))
-        number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-        return number % 10000 < rate * 10000
+        # 60 bits: as fine as a double's rate
+        number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+        return number < F.lit(round(rate * 2**60))
     return F.rand(DEFAULT_SEED if seed is None else int(seed)) <= rate
 
 

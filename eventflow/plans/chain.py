@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators.effect import guarded
+from ..operators.records import in_condition, opened, record_json, with_members
 from .spec import ChainSpec, as_spec, build_effect, default_spec
 
 AUDIT_COLUMNS = ("_input", "_output", "_applied", "_skipped", "_skipped_by", "_error")
-MAX_AUDIT_FILTERS = 10
 
 
 def run_pipeline(
@@ -24,10 +24,13 @@ def run_pipeline(
 ) -> DataFrame:
     """Apply the enabled filters in order.
 
-    ``None`` stands for the default chain.  Rows with a decode ``_error`` pass through untouched.
+    ``None`` stands for the default chain.  Rows with a decode ``_error`` pass through untouched.  A field that is no
+    column is looked up among the undeclared members of the record (``_rest``, or a VARIANT ``record``).
     """
     chain = default_spec() if spec is None else as_spec(spec)
+    df = opened(df)
     for filter_spec in chain.active:
+        df, extra = with_members(df, in_condition(filter_spec.condition or ""), as_text=True, keep=True)
         effect = build_effect(df, filter_spec, tables, context)
         guards = []
         if filter_spec.condition:
@@ -36,31 +39,31 @@ def run_pipeline(
             guards.append(F.col("_error").isNull())
         for guard in guards[1:]:
             guards[0] = guards[0] & guard
-        df = (guarded(effect, guards[0]) if guards else effect).run()
+        df = (guarded(effect, guards[0]) if guards else effect).run().drop(*extra)
     return df
 
 
 def _record_json(df: DataFrame):
-    fields = [tx.field(c) for c in df.columns if not c.startswith("_")]
-    return F.to_json(F.struct(*fields)) if fields else F.lit("{}")
+    return record_json(df, [c for c in df.columns if not c.startswith("_")])
 
 
 def run_pipeline_audited(
     df: DataFrame,
     spec: ChainSpec | dict | str | list | None,
     tables: dict[str, DataFrame] | None = None,
-    limit_filters: bool = True,
+    max_filters: int | None = None,
     **context: Any,
 ) -> DataFrame:
     """Like :func:`run_pipeline`, but every row stays and tells what happened to it.
 
     Adds ``_input`` and ``_output`` (JSON of the record before the chain and when it left it), ``_applied``
-    (filter types that took effect), ``_skipped``, ``_skipped_by`` and ``_error``.
+    (filter types that took effect), ``_skipped``, ``_skipped_by`` and ``_error``.  ``max_filters`` refuses longer chains.
     """
     chain = default_spec() if spec is None else as_spec(spec)
     active = chain.active
-    if limit_filters and len(active) > MAX_AUDIT_FILTERS:
-        raise ValueError(f"at most {MAX_AUDIT_FILTERS} filters can be audited")
+    if max_filters is not None and len(active) > max_filters:
+        raise ValueError(f"at most {max_filters} filters can be audited")
+    df = opened(df)
     error = F.col("_error") if tx.has(df, "_error") else F.lit(None).cast("string")
     df = df.withColumns(
         {
@@ -106,8 +109,8 @@ def _edit(effect, prepared: DataFrame) -> DataFrame:
 def preview(
     df: DataFrame, spec, order_by: str, count: int = 100, tables: dict[str, DataFrame] | None = None, **context: Any
 ) -> DataFrame:
-    """Audited run over the first rows, 1000 at most."""
-    count = 100 if count <= 0 else min(count, 1000)
+    """Audited run over the first ``count`` rows (100 if that is not positive)."""
+    count = 100 if count <= 0 else count
     return run_pipeline_audited(df.orderBy(tx.field(order_by)).limit(count), spec, tables, **context)
 
 

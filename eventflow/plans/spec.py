@@ -71,12 +71,17 @@ def default_spec(processed_by: str = DEFAULT_PROCESSED_BY, version: str = DEFAUL
     )
 
 
-CUSTOM_FILTERS: dict[str, Callable[[DataFrame, dict[str, Any]], DataFrame]] = {}
+CUSTOM_FILTERS: dict[str, tuple[Callable[[DataFrame, dict[str, Any]], DataFrame | Effect], bool]] = {}
 
 
-def register_filter(name: str, function: Callable[[DataFrame, dict[str, Any]], DataFrame]) -> None:
-    """Make a DataFrame function available as a filter type."""
-    CUSTOM_FILTERS[name] = function
+def register_filter(name: str, function: Callable[[DataFrame, dict[str, Any]], DataFrame | Effect], rows: bool = False) -> None:
+    """Make a DataFrame function available as a filter type.
+
+    It edits columns; a condition then puts old values back, in one pass.  A function that drops or adds rows returns an
+    :class:`Effect` (``keep``, ``explode``), or is registered with ``rows``: with a condition such a step
+    reads its input twice.
+    """
+    CUSTOM_FILTERS[name] = function, rows
 
 
 def register_parser(name: str, parser: Parser) -> None:
@@ -93,8 +98,9 @@ def build_effect(
     """Effect of one filter on ``df``; raises ValueError for a bad type or configuration."""
     config = dict(spec.config)
     if spec.type in CUSTOM_FILTERS:
-        function = CUSTOM_FILTERS[spec.type]
-        return Effect(df, whole=lambda d: function(d, config))
+        function, rows = CUSTOM_FILTERS[spec.type]
+        made = None if rows else function(df, config)
+        return made if isinstance(made, Effect) else Effect(df, whole=lambda d: function(d, config), local=not rows)
     if spec.type not in BUILDERS:
         raise ValueError(f"unknown filter type {spec.type!r}")
     for option in IGNORED.get(spec.type, ()):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +20,9 @@ _BAD = "_corrupt"
 def decode_lines(lines: DataFrame, schema: str | T.StructType | None = None, keep_raw: bool = False) -> DataFrame:
     """Decode the JSON object in ``value`` of every non-blank line.
 
-    With a schema its fields become columns, without one the record is the VARIANT column
-    ``record``.  A line that is no JSON object has ``_error`` and its text in ``_raw``;
+    With a schema its fields become columns; other members are kept in ``_rest``, and values of another type than
+    declared, whose column is NULL, in ``_mistyped`` (both ``map<string,variant>``, NULL if empty).  Without a schema
+    the record is the VARIANT column ``record``.  A line that is no JSON object has ``_error`` and its text in ``_raw``;
     ``keep_raw`` keeps the text of all lines.
     """
     lines = lines.where(tx.trim_space(F.col("value")) != "")
@@ -42,11 +43,27 @@ def decode_lines(lines: DataFrame, schema: str | T.StructType | None = None, kee
             F.col("_r").getField(_BAD).isNotNull() & js.strict_object(F.col("value")).isNull()
         )
         fields = [F.col("_r").getField(f.name).alias(f.name) for f in wanted.fields]
+        fields += _undeclared(wanted)
     error = tx.is_true(bad)
     raw = F.col("value") if keep_raw else F.when(error, F.col("value"))
     return decoded.select(*others, *fields, F.when(error, message).alias("_error"), raw.alias("_raw"))
 
 
+def _undeclared(wanted: T.StructType) -> list[Column]:
+    """``_rest`` and ``_mistyped`` of the object in ``value``; plans that use neither never compute them."""
+    members = js.as_object(F.try_parse_json("value"))
+    names = [f.name for f in wanted.fields]
+    empty = lambda m: F.when(F.size(m) > 0, m)
+    rest = tx.let(F.map_filter(members, lambda k, _: ~k.isin(names)) if names else members, empty)
+    lost = F.array_compact(F.array(*[F.when(F.col("_r").getField(n).isNull(), F.lit(n)) for n in names]))
+    wrong = tx.let(
+        F.map_filter(members, lambda k, v: F.array_contains(lost, k) & ~F.is_variant_null(v)) if names else members, empty
+    )
+    # the reader marks every line in which a field has another type
+    marked = F.col("_r").getField(_BAD).isNotNull()
+    return [rest.alias("_rest"), F.when(marked, wrong).alias("_mistyped")]
+
+
 _SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*"
 
 

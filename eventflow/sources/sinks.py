@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as tx
+from ..operators.records import record_json
 
 PARTITIONS = ("tenant_id", "dataset_id")
 
@@ -14,13 +15,10 @@ PARTITIONS = ("tenant_id", "dataset_id")
 def event_line(df: DataFrame, partition_by: tuple[str, ...] = PARTITIONS) -> Column:
     """JSON text of a row without partition and ``_`` columns; a bad line keeps its original text.
 
-    NULL fields are left out, which is what a missing field looks like in the output.
+    NULL fields are left out, which is what a missing field looks like in the output.  Undeclared members
+    and values of another type than declared (``_rest``, ``_mistyped``, VARIANT ``record``) are part of the same flat object.
     """
-    fields = [tx.field(c) for c in df.columns if c not in partition_by and not c.startswith("_")]
-    if "record" in df.columns and len(fields) == 1:
-        line = F.to_json(tx.field("record"))
-    else:
-        line = F.to_json(F.struct(*fields)) if fields else F.lit("{}")
+    line = record_json(df, [c for c in df.columns if c not in partition_by and not c.startswith("_")])
     if tx.has(df, "_error") and tx.has(df, "_raw"):
         line = F.when(F.col("_error").isNotNull(), F.col("_raw")).otherwise(line)
     return line

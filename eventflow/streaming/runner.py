@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as tx
-from ..operators.enrich import fits_broadcast
 from ..plans.chain import run_pipeline
 from ..plans.spec import ChainSpec, as_spec
 from ..sources.sinks import PARTITIONS, event_lines, write_events_stream
@@ -18,22 +17,9 @@ from ..sources.sinks import PARTITIONS, event_lines, write_events_stream
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def row_local(spec: ChainSpec | dict | str | list | None, tables: dict[str, DataFrame] | None = None) -> bool:
-    """Whether a chain runs directly on a stream.
-
-    Not so with a step that joins back its own rows, or with a look-up too big to broadcast, whose
-    hot keys can only be found within a batch.
-    """
-
-    def per_batch(f) -> bool:
-        if f.type == "useragent":
-            return bool(f.config.get("distinct"))
-        if f.type in ("enricher", "dns"):
-            name = f.config.get("enricher_id") or f.config.get("enrichment") or f.config.get("table", "dns")
-            return name in (tables or {}) and not fits_broadcast(tables[name])
-        return False
-
-    return spec is None or not any(per_batch(f) for f in as_spec(spec).active)
+def per_batch(spec: ChainSpec | dict | str | list | None) -> bool:
+    """Whether a chain has a step that joins back its own rows, which only a batch can."""
+    return spec is not None and any(f.type == "useragent" and f.config.get("distinct") for f in as_spec(spec).active)
 
 
 def run_stream(
@@ -44,15 +30,19 @@ def run_stream(
     tables: dict[str, DataFrame] | None = None,
     partition_by: tuple[str, ...] = PARTITIONS,
     trigger: dict | None = None,
+    batches: bool = False,
     **context: Any,
 ) -> StreamingQuery:
     """Run a chain over a stream of events and write JSON lines.
 
-    Row-local chains and stream-static joins compile into the streaming plan itself; other chains
-    run per micro-batch, whose output folder is named by the batch so that a repeated batch
-    overwrites its own output.
+    The chain and its stream-static joins compile into the streaming plan; the file sink's log makes the output
+    exactly-once.  With ``batches`` every micro-batch runs on its own and writes the folder
+    ``batch=N``, which a repeated batch overwrites; only then can a chain have a step that joins back its own rows.  Nothing else decides
+    the layout, so a path is written in one way for good.
     """
-    if row_local(spec, tables):
+    if not batches:
+        if per_batch(spec):
+            raise ValueError("this chain joins back its own rows: run it with batches=True")
         return write_events_stream(
             run_pipeline(stream, spec, tables, **context), path, checkpoint, partition_by, trigger=trigger
         )
