@@ -78,8 +78,10 @@ def repeated_fingerprints(prints: DataFrame, block_bits: int | None = None) -> D
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = [b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for b in batches]
         prints, counts = np.unique(np.concatenate(values or [np.zeros(0, np.uint64)]), return_counts=True)
+        if not len(prints):
+            return
         blocks = prints >> np.uint64(width)
-        starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))[: len(blocks)]
+        starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
         low = prints & ((np.uint64(1) << np.uint64(width)) - np.uint64(1))
         for a, b in zip(starts, np.append(starts[1:], len(blocks)), strict=True):
             f = QuotientFilter.of(low[a:b], counts[a:b], width)

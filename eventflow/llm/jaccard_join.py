@@ -163,14 +163,14 @@ def similar_documents(docs: DataFrame, k: int = 5, over: int = 80, under: int =
 
     # one row for each class; its prefix is that of any of its documents
     heads = sets.join(classes.select(F.col("class").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"])
-    heads = store(heads.dropDuplicates(["doc_id", "d1", "d2"]), "heads")
-    members = heads.groupBy("p1", "n").agg(F.min("doc_id").alias("group"), F.count("*").alias("size"))
-    groups = store(members, "groups")
-    crowds = groups.filter("size > 1")
-    inside = store(
-        heads.select("doc_id", "p1", "n").join(crowds, ["p1", "n"]).select("group", F.col("doc_id").alias("member")), "inside"
-    )
-    posted = heads.join(groups.select(F.col("group").alias("doc_id"), "p1", "n"), ["doc_id", "p1", "n"])
+    heads = store(heads.dropDuplicates(["doc_id", "d1", "d2", "n"]), "heads")
+    crowds = heads.groupBy("p1", "n").agg(F.min("doc_id").alias("group"), F.count("*").alias("size")).filter("size > 1")
+    crowds = broadcast_if_small(store(crowds.select("p1", "n", "group"), "crowds"))
+    inside = heads.select("doc_id", "p1", "n").join(crowds, ["p1", "n"]).select("group", F.col("doc_id").alias("member"))
+    inside = store(inside, "inside")
+    # all but the groups' other members are posted
+    others = broadcast_if_small(store(inside.filter("member != group").select(F.col("member").alias("doc_id")).distinct(), "others"))
+    posted = heads.join(others, "doc_id", "left_anti")
     posted = posted.select(F.col("doc_id").alias("g"), "n", F.posexplode("prefix").alias("at", "token"))
     posted = posted.withColumn("of", F.struct("at", "g", "n"))
     pivots = posted.groupBy("token").agg(F.count("*").alias("posts"), F.min("of").alias("pivot")).filter("posts > 1")

@@ -25,10 +25,11 @@ OUTPUT = ("lang_pred", "score")
 
 
 def suffix_automaton(text: list[int], letters: int) -> np.ndarray:
-    """Parsing table of the text's suffix automaton: for a state and a letter, twice the next state, plus 1 if a phrase ends.
+    """Parsing table of the text's suffix automaton: for a state and a letter, twice the next state, plus 1 if a phrase begins.
 
-    The automaton follows exactly the substrings of the text.  Where a state has no way on for a letter, the
-    phrase ends and the next begins with that letter, so each entry of the table has the step from the root in it.
+    The automaton follows exactly the substrings of the text.  Where a state has no way on for a letter, the next phrase
+    begins with that letter, so each entry has the step from the root in it.  The last state is the one before
+    any phrase, and after a letter that the text has nowhere, which is a phrase of its own.
     """
     ways: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
@@ -55,7 +56,7 @@ def suffix_automaton(text: list[int], letters: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.ones((len(ways), letters), np.int32)
+    table = np.full((len(ways) + 1, letters), 2 * len(ways) + 1, np.int32)
     for c, to in ways[0].items():
         table[:, c] = 2 * to + 1
     for state, out in enumerate(ways):
@@ -118,8 +119,8 @@ class Model:
         running = np.searchsorted(-cut[order], -np.arange(PIECE), side="left")
         for x, table in enumerate(self.tables):
             flat = table.reshape(-1)
-            state = np.zeros(len(owner), np.int64)
-            count = np.ones(len(owner), np.int32)
+            state = np.full(len(owner), len(table) - 1, np.int64)
+            count = np.zeros(len(owner), np.int32)
             for i in range(int(cut.max())):
                 m = running[i]
                 step = flat[state[:m] * LETTERS + lanes[i, :m]]

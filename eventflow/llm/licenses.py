@@ -22,7 +22,7 @@ SPELLINGS = {
 def canonical_line(line: Column) -> Column:
     """Lower case, no copyright line, one spelling, words with single spaces."""
     line = F.lower(line)
-    own = line.rlike(r"^[\s\p{P}\p{S}]*(?:copyright\b|\(c\)|©)(?!\s+(?:notice|holder))")
+    own = line.rlike(r"^[\s\p{P}\p{S}]*(?:copyright\b[\s:]*(?!notice|holder|owner|law|and\b|or\b|is\b|in\b|to\b)\S|\(c\)\s*\S|©)")
     for form, to in SPELLINGS.items():
         line = F.replace(line, F.lit(form), F.lit(to))
     return F.when(own, F.lit("")).otherwise(F.trim(F.regexp_replace(line, r"[^\p{L}\p{N}]+", " ")))

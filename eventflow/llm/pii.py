@@ -175,9 +175,10 @@ def dressed(found: Column, fakes: Column) -> Column:
         return F.when(c.rlike("[A-Za-z0-9]"), F.substr(plain, rank, F.lit(1))).otherwise(c)
 
     placed = F.array_join(F.transform(_chars(found), place), "")
-    loud = (F.upper(found) == found) & (F.lower(found) != found)
-    form = F.regexp_extract(found, r"^(\S+\s+)", 1)
-    gaps = F.regexp_extract_all(F.regexp_replace(found, r"^\S+\s+", ""), F.lit("([ -])"), F.lit(1))
+    form, called = F.regexp_extract(found, r"^(\S+\s+)", 1), F.regexp_replace(found, r"^\S+\s+", "")
+    spoken = F.when(kind == "person", called).otherwise(found)
+    loud = (F.upper(spoken) == spoken) & (F.lower(spoken) != spoken)
+    gaps = F.regexp_extract_all(called, F.lit("([ -])"), F.lit(1))
     names = F.array_join(F.transform(fakes, lambda n, i: F.concat(n, F.coalesce(F.get(gaps, i), F.lit("")))), "")
     return (
         F.when(kind == "person", F.concat(form, F.when(loud, F.upper(names)).otherwise(names)))

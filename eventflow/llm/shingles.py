@@ -18,9 +18,11 @@ PIECE_BYTES = 8_000_000
 
 def pieces(batch: pa.RecordBatch, column: str | int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about PIECE_BYTES of text, so that long texts do not make large arrays."""
+    if not batch.num_rows:
+        return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
-    starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()] if len(part) else []
+    starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()]
     for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
         yield batch.slice(a, b - a)
 
