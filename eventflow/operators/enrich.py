@@ -21,10 +21,7 @@ from .effect import Effect, once, operator, require, unchanged
 # Largest look-up side that is broadcast.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
-# Keys treated as hot in the shuffle join, the share of rows looked at to find them, and the
-# partitions a hot key is spread over.  Any choice of keys gives the same result.
-HOT_KEYS = 1024
-HOT_LOOK = 0.01
+# Partitions that rows without a key are dealt to.
 SPREAD = 4096
 RANGE_SALTS = 16
 
@@ -63,30 +60,10 @@ def lookup_join(df: DataFrame, key: Column, lookup: DataFrame, broadcast: bool,
     matches = (F.col("_lkey") == F.col("_rkey")) & (F.col("_slot") == F.col("_rslot"))
     # The partition id depends on the row's task alone, so a retried task spreads alike.
     slot = 1 + F.spark_partition_id() % SPREAD
-    if df.isStreaming:
-        # Key counts would be state on a stream; big look-ups run per micro-batch instead (run_stream).
-        near = marked.withColumn("_slot", F.when(F.col("_lkey").isNull(), slot).otherwise(0))
-        return near.join(right_slotted, matches, "left").select(*[tx.field(c) for c in df.columns], tx.field(out))
-    # Likely hot keys (at most HOT_KEYS of them, so that side is bounded) are joined by broadcast;
-    # their rows and those without a key then go to many partitions of the shuffle join, where they
-    # match nothing.  Only the search for these keys looks at a share of the rows; the joins take all.
-    hot = (
-        marked.where(F.col("_lkey").isNotNull())
-        .sample(fraction=HOT_LOOK, seed=1)
-        .groupBy("_lkey")
-        .count()
-        .orderBy(F.desc("count"), "_lkey")
-        .limit(HOT_KEYS)
-        .select(F.col("_lkey").alias("_hot"))
-    )
-    hot_rows = right.join(F.broadcast(hot), F.col("_rkey") == F.col("_hot")).select("_hot", F.col(out).alias("_hot_row"))
-    hot_keys = hot.join(hot_rows, "_hot", "left")
-    near = marked.join(F.broadcast(hot_keys.withColumn("_is_hot", F.lit(True))), F.col("_lkey") == F.col("_hot"), "left")
-    settled = F.col("_lkey").isNull() | F.col("_is_hot").isNotNull()
-    near = near.withColumn("_slot", F.when(settled, slot).otherwise(0))
-    joined = near.join(right_slotted, matches, "left")
-    found = F.coalesce(F.col("_hot_row"), F.col(out))
-    return joined.select(*[tx.field(c) for c in df.columns], found.alias(out))
+    # Rows without a key go to many partitions, where they match nothing; hot keys are split by adaptive execution,
+    # since both sides are plain exchanges of this join.
+    near = marked.withColumn("_slot", F.when(F.col("_lkey").isNull(), slot).otherwise(0))
+    return near.join(right_slotted, matches, "left").select(*[tx.field(c) for c in df.columns], tx.field(out))
 
 
 def _table(tables: dict[str, DataFrame] | None, name: str) -> DataFrame:
@@ -222,6 +199,30 @@ def _coarse_buckets(ranges: DataFrame) -> DataFrame:
     return rows.select(F.lpad(F.lower(F.hex("_n")), 4, "0").alias("_bucket"), "_start", "_end", "_geo")
 
 
+def _disjoint(ranges: DataFrame) -> DataFrame:
+    """Non-overlapping pieces of the ranges of each bucket; of several ranges around a piece the narrowest has it.
+
+    A group holds the ranges that touch one bucket.  Addresses are texts of one length, so ``end`` and a mark above all
+    digits stands for what follows ``end``.
+    """
+    high = lambda c, i: F.conv(F.substring(c, i, 8), 16, 10).cast("double")
+    size = sum(((high("_end", 1 + 8 * i) - high("_start", 1 + 8 * i)) * 2.0 ** (32 * (3 - i)) for i in range(4)), F.lit(0.0))
+    after = F.concat("_end", F.lit("~"))
+    item = F.struct(size.alias("size"), F.col("_start").alias("a"), after.alias("b"), F.to_json("_geo").alias("tie"), F.col("_geo").alias("geo"))
+    listed = ranges.groupBy("_bucket").agg(F.collect_list(item).alias("_all"))
+    cuts = F.array_sort(F.array_distinct(F.concat(F.transform("_all", lambda r: r["a"]), F.transform("_all", lambda r: r["b"]))))
+    listed = listed.withColumn("_cuts", cuts)
+
+    def piece(cut: Column, i: Column) -> Column:
+        over = F.filter("_all", lambda r: (r["a"] <= cut) & (r["b"] > cut))
+        best = F.array_min(F.transform(over, lambda r: F.struct(r["size"].alias("size"), r["a"].alias("a"), r["tie"].alias("tie"))))
+        own = F.filter(over, lambda r: (r["size"] == best["size"]) & (r["a"] == best["a"]) & (r["tie"] == best["tie"]))
+        return F.struct(cut.alias("a"), F.get("_cuts", i + 1).alias("b"), F.get(own, 0)["geo"].alias("geo"))
+
+    pieces = listed.select("_bucket", F.explode(F.transform("_cuts", piece)).alias("p")).where("p.geo IS NOT NULL")
+    return pieces.select("_bucket", F.col("p.a").alias("_start"), F.col("p.b").alias("_end"), F.col("p.geo").alias("_geo"))
+
+
 def _range_sizes(ranges: DataFrame) -> tuple[bool, bool, bool]:
     """Whether the fine and the coarse side are small enough to broadcast, and whether there are wide ranges."""
     buckets = F.col("_to") - F.col("_from") + 1
@@ -233,16 +234,16 @@ def _range_sizes(ranges: DataFrame) -> tuple[bool, bool, bool]:
         F.sum(F.when(F.col("_wide"), row)).alias("wide_bytes"),
     ).first()
     fine = (sizes["rows"] or 0) <= BROADCAST_ROWS and (sizes["bytes"] or 0) <= BROADCAST_BYTES
-    # Wide ranges do not overlap, so they touch at most 65,536 coarse buckets plus one each.
+    # Wide ranges that do not overlap touch at most 65,536 coarse buckets plus one each.
     coarse = sizes["wide"] <= BROADCAST_ROWS and (sizes["wide_bytes"] or 0) <= BROADCAST_BYTES
     return fine, coarse, sizes["wide"] > 0
 
 
 def _range_join(df: DataFrame, bucket: Column, ranges: DataFrame, out: str, broadcast: bool) -> DataFrame:
-    right = ranges.select(
+    right = _disjoint(ranges).select(
         F.col("_bucket").alias("_rb"), F.col("_start").alias("_rs"), F.col("_end").alias("_re"), F.col("_geo").alias(out)
     )
-    inside = (F.col("_ip") >= F.col("_rs")) & (F.col("_ip") <= F.col("_re"))
+    inside = (F.col("_ip") >= F.col("_rs")) & (F.col("_ip") < F.col("_re"))
     left = df.withColumn("_lb", bucket)
     if broadcast:
         joined = left.join(F.broadcast(right), (F.col("_lb") == F.col("_rb")) & inside, "left")
@@ -270,7 +271,7 @@ def geoip(
     tables: dict[str, DataFrame] | None = None,
     broadcast: bool | None = None,
 ) -> Effect:
-    """Geographic record of an address from a table of non-overlapping ranges.
+    """Geographic record of an address from a table of ranges; of ranges that overlap the narrowest counts.
 
     The table has ``start_ip`` and ``end_ip`` (inclusive, IPv4 or IPv6 text) and any of the
     record columns.  ``source_field`` may be a dotted path.  An invalid or unknown address

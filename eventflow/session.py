@@ -29,12 +29,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder.  Only where it is unset (local
-    runs and tests) is a machine-local folder used.
+    ``spark.checkpoint.dir`` names the shared folder; where it is unset, the warehouse folder is
+    used, and a machine-local one only by a session whose tasks all run in the driver.  The folder
+    goes when the driver's JVM ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not base and context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        base = tempfile.gettempdir() + "/eventflow"
     if not base:
-        base = tempfile.mkdtemp(prefix="eventflow-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

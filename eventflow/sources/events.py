@@ -67,11 +67,12 @@ def _undeclared(wanted: T.StructType) -> list[Column]:
 _SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*"
 
 
-def _with_path(lines: DataFrame, root: str) -> DataFrame:
-    """Tenant and dataset of the file a line comes from, by its key below the folder ``root``."""
+def _with_path(lines: DataFrame, roots: list[str]) -> DataFrame:
+    """Tenant and dataset of the file a line comes from, by its key below the longest of the ``roots`` that holds it."""
     path = F.col("_metadata.file_path")
-    lead = tx.quote_regex(re.sub(_SCHEME, "", root).rstrip("/"))
-    key = F.regexp_replace(F.regexp_replace(path, _SCHEME, ""), f"^{lead}/", "")
+    plain = sorted({re.sub(_SCHEME, "", root).rstrip("/") for root in roots}, key=len, reverse=True)
+    leads = "|".join(tx.quote_regex(root) for root in plain)
+    key = F.regexp_replace(F.regexp_replace(path, _SCHEME, ""), f"^(?:{leads})/", "")
     meta = path_metadata(key)
     return lines.select(
         "value",
@@ -86,9 +87,8 @@ def read_lines(spark: SparkSession, path: str | list[str], path_metadata: bool =
 
     A gzip file is read by one task; ``partitions`` spreads few large ones before the work on them.
     """
-    first = path if isinstance(path, str) else path[0]
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    lines = _with_path(lines, first) if path_metadata else lines
+    lines = _with_path(lines, [path] if isinstance(path, str) else path) if path_metadata else lines
     return lines.repartition(partitions) if partitions else lines
 
 
@@ -122,7 +122,7 @@ def read_events_stream(
     if delete_source:
         reader = reader.option("cleanSource", "delete")
     lines = reader.load(path)
-    lines = _with_path(lines, path) if path_metadata else lines
+    lines = _with_path(lines, [path]) if path_metadata else lines
     return decode_lines(lines, schema, keep_raw)
 
 
@@ -143,23 +143,55 @@ def parse_by_hint(
 ) -> DataFrame:
     """Parse every line with the parser that its file name hints at.
 
-    The formats (all with a parser by default) are branches of one plan that differ in their
-    file-name filter; lines of other formats are parsed as raw text.  ``settings`` holds parser
-    settings by format.
+    The formats (all with a parser by default) are columns of one projection, so the lines are read once; lines of other
+    formats are parsed as raw text.  A field that two formats give in different types is text.  ``settings`` holds parser settings by format.
     """
     named = [f for f in (formats or FORMAT_PARSERS) if f != "raw"]
     hinted = with_format_hint(lines, name_col)
-    known = F.col("format").isin(named)
-    out = parse(hinted.where(~known), parser_name="raw", source_field=source_field, **parse_options)
-    for form in named:
-        branch = parse(
-            hinted.where(F.col("format") == form),
-            parser_name=FORMAT_PARSERS[form],
-            source_field=source_field,
-            settings=(settings or {}).get(form),
-            **parse_options,
+    own, form = hinted.columns, F.col("format")
+    made: dict[str, list[tuple[str, T.DataType]]] = {}
+    out = hinted
+    for i, kind in enumerate([*named, "raw"]):
+        mine = form == kind if kind != "raw" else tx.is_true(~form.isin(named)) | form.isNull()
+        # the text of other formats is hidden, so each parser sees its own lines alone
+        hidden = out.withColumn("_hint_text", F.when(mine, tx.field(source_field)))
+        parsed = parse(
+            hidden.select(*[tx.field(c) for c in out.columns], "_hint_text"),
+            parser_name=FORMAT_PARSERS[kind],
+            source_field="_hint_text",
+            target_field=f"_hint_{i}",
+            settings=(settings or {}).get(kind),
+            on_parse_failure="ignore",
         )
-        out = out.unionByName(branch, allowMissingColumns=True)
+        out = parsed.drop("_hint_text")
+        for f in tx.type_of(out, f"_hint_{i}").fields:
+            made.setdefault(f.name, []).append((f"_hint_{i}", f.dataType))
+    failed = tx.all_of([tx.field(f"_hint_{i}").isNull() for i in range(len(named) + 1)])
+    columns = []
+    for name, sources in made.items():
+        kinds = {k.simpleString() for _, k in sources}
+        value = lambda c, k: tx.field(c).getField(name) if len(kinds) == 1 else tx.text(tx.field(c).getField(name), k)  # noqa: B023, E731
+        new = F.coalesce(*[value(c, k) for c, k in sources])
+        if name in own:
+            new = F.coalesce(new, tx.field(name)) if tx.is_string(out, name) and (len(kinds) > 1 or kinds == {"string"}) else new
+        columns.append(new.alias(name))
+    on_failure = parse_options.get("on_parse_failure", "tag")
+    if on_failure == "skip":
+        out = out.where(~failed)
+    elif on_failure == "tag":
+        reason = F.concat(F.lit("line does not match "), _parser_of(named), F.lit(" format"))
+        earlier = tx.field("_parse_failure") if tx.is_string(hinted, "_parse_failure") else F.lit(None).cast("string")
+        columns.append(F.coalesce(F.when(failed, reason), earlier).alias("_parse_failure"))
+    if parse_options.get("preserve_raw"):
+        columns.append(F.when(~failed, tx.field(source_field)).alias("_raw"))
+    new_names = {*made, "_parse_failure", "_raw"} if on_failure == "tag" or parse_options.get("preserve_raw") else set(made)
+    return out.select(*[tx.field(c) for c in own if c not in new_names], *columns)
+
+
+def _parser_of(named: list[str]) -> Column:
+    out = F.lit("raw")
+    for form in named:
+        out = F.when(F.col("format") == form, FORMAT_PARSERS[form]).otherwise(out)
     return out
 
 
@@ -169,13 +201,41 @@ def read_delimited(
     delimiter: str = ",",
     headers: list[str] | None = None,
 ) -> DataFrame:
-    """CSV / TSV files with a header row: text columns, ``_error`` for a wrong number of fields.
+    """CSV / TSV files, each with its own header row: text columns, ``_error`` for a wrong number of fields.
 
-    ``headers`` may be given instead of being read from the first file.
+    Files are read in groups of the same header, so a file with another order of columns, or with other ones, keeps
+    its values under its own names.  ``headers`` names the columns of all files instead.
     """
-    names = headers
-    if names is None:
+    if headers is not None:
+        return _delimited(spark, path, delimiter, headers)
+    groups = _header_groups(spark, path, delimiter)
+    if not groups:
         names = spark.read.csv(path, header=True, sep=delimiter, inferSchema=False).columns
+        return _delimited(spark, path, delimiter, names)
+    parts = [_delimited(spark, files, delimiter, list(names)) for names, files in groups]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    marks = ("_raw", "_error")
+    return out.select(*[tx.field(c) for c in out.columns if c not in marks], *marks)
+
+
+def _header_groups(spark: SparkSession, path: str | list[str], delimiter: str) -> list[tuple[tuple[str, ...], list[str]]]:
+    """Files by the names in their first line; the first lines of all files are read by tasks."""
+    lines = spark.read.text(path).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at")
+    )
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():
+        groups.setdefault(row["header"], []).append(row["file"])
+    out = []
+    for files in groups.values():
+        out.append((tuple(spark.read.csv(files[0], header=True, sep=delimiter, quote='"', escape='"').columns), files))
+    return out
+
+
+def _delimited(spark: SparkSession, path: str | list[str], delimiter: str, names: list[str]) -> DataFrame:
     schema = T.StructType([*(T.StructField(n, T.StringType()) for n in names), T.StructField("_raw", T.StringType())])
     rows = spark.read.csv(
         path,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text as tx
-from ..operators.records import record_json
+from ..operators.records import MISTYPED, REST, record_json
+from ..session import scratch_dir
 
 PARTITIONS = ("tenant_id", "dataset_id")
 
@@ -34,13 +35,13 @@ def write_events(
     partition_by: tuple[str, ...] = PARTITIONS,
     compression: str = "gzip",
     mode: str = "append",
-    rebalance: bool = False,
+    rebalance: bool = True,
     max_records_per_file: int = 0,
 ) -> None:
     """Write JSON lines below ``path`` by partition.
 
     ``rebalance`` merges small files and splits the files of big datasets: Spark evens out the
-    partitions, so no dataset is written by one task.
+    partitions, so no dataset is written by one task.  Without it every task writes a file for each of its datasets.
     """
     lines = event_lines(df, partition_by)
     if rebalance:
@@ -88,14 +89,26 @@ def route_errors(
 ) -> None:
     """Write good events as JSON lines and dead letters, with their reason, as parquet.
 
-    The two writes read the input twice, each with its own filter; nothing is cached or collected.
+    The input is read and decoded once: both sides are written together to a scratch table in two folders, and
+    each is written on from its folder.
     """
-    good, bad = split_errors(df)
-    write_events(good, good_path, partition_by, mode=mode)
     letters = [c for c in ("_error", "_parse_failure", "_raw", "_file") if tx.has(df, c)]
-    record = F.to_json(F.struct(*[tx.field(c) for c in df.columns if c not in letters and c not in partition_by]))
-    dead = bad.select(*[tx.field(p) for p in partition_by], *[tx.field(c) for c in letters], record.alias("record"))
-    dead.write.mode(mode).parquet(dead_letter_path)
+    record = record_json(df, [c for c in df.columns if c not in letters and c not in partition_by and c not in (REST, MISTYPED)])
+    keys = [tx.field(p) for p in partition_by]
+    bad = tx.is_true(failed(df))
+    both = df.select(
+        *keys,
+        *[tx.field(c) for c in letters],
+        F.when(bad, record).alias("record"),
+        F.when(~bad, event_line(df, partition_by)).alias("value"),
+        F.when(bad, "dead").otherwise("good").alias("_side"),
+    )
+    path = scratch_dir(df.sparkSession, "sides")
+    both.write.partitionBy("_side").parquet(path)
+    sides = df.sparkSession.read.schema(both.schema).parquet(path)
+    lines = sides.where("_side = 'good'").select(*keys, "value").write.mode(mode).option("compression", "gzip")
+    (lines.partitionBy(*partition_by) if partition_by else lines).text(good_path)
+    sides.where("_side = 'dead'").drop("_side", "value").write.mode(mode).parquet(dead_letter_path)
 
 
 def manifest(

@@ -105,7 +105,8 @@ def _(spark, sf):
 @query(
     "json_flatten_record",
     """SELECT o_orderkey, o_orderstatus AS "order.status", c_name AS "order.customer.name",
-       c_mktsegment AS "order.customer.segment", o_orderpriority AS "tags.0.who", c_name AS "tags.1.who"
+       c_mktsegment AS "order.customer.segment", o_orderpriority AS "tags.0.who", c_name AS "tags.1.who",
+       CASE WHEN o_orderkey % 2 = 0 THEN 'third' END AS "tags.2.who", CASE WHEN o_orderkey % 6 = 0 THEN 'fourth' END AS "tags.3.who"
        FROM orders JOIN customer ON o_custkey = c_custkey""",
 )
 def _(spark, sf):
@@ -118,9 +119,19 @@ def _(spark, sf):
             F.col("o_orderstatus").alias("status"),
             F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("customer"),
         ).alias("order"),
-        F.array(F.struct(F.col("o_orderpriority").alias("who")), F.struct(F.col("c_name").alias("who"))).alias("tags"),
+        # two to four elements; two are spread to columns, the others are members of the rest
+        F.array_compact(
+            F.array(
+                F.struct(F.col("o_orderpriority").alias("who")),
+                F.struct(F.col("c_name").alias("who")),
+                F.when(F.col("o_orderkey") % 2 == 0, F.struct(F.lit("third").alias("who"))),
+                F.when(F.col("o_orderkey") % 6 == 0, F.struct(F.lit("fourth").alias("who"))),
+            )
+        ).alias("tags"),
     )
-    return ef.json_flatten(df, array_lengths={"tags": 2})
+    out = ef.json_flatten(df, array_lengths={"tags": 2})
+    more = {f"tags.{i}.who": F.try_element_at("_rest", F.lit(f"tags.{i}.who")).cast("string") for i in (2, 3)}
+    return out.withColumns(more).drop("_rest")
 
 
 @query(
@@ -178,10 +189,28 @@ def _(spark, sf):
     return out.select("o_orderkey", "fingerprint")
 
 
-@query("fingerprint_sha512")
+# Fixed value: the published SHA-512 digest of "abc".
+ABC512 = (
+    "ddaf35a193617abacc417349ae20413112e6fa4e89a97ea20a9eeee64b55d39a2192992a274fc1a836ba3c23a3feebbd454d4423643ce80e2a9ac94fa54ca49f"
+)
+
+
+@query(
+    "fingerprint_sha512",
+    """SELECT count(*) AS n, count(DISTINCT o_orderkey || '|' || o_orderpriority) AS digests, 128 AS shortest, 128 AS longest, TRUE AS known FROM orders""",
+)
 def _(spark, sf):
-    out = ef.fingerprint(table(spark, sf, "orders"), source_fields=["o_orderkey", "o_orderpriority"], method="SHA512")
-    return out.select("o_orderkey", "fingerprint")
+    df = table(spark, sf, "orders").withColumn("abc", F.lit("abc"))
+    out = ef.fingerprint(df, source_fields=["o_orderkey", "o_orderpriority"], method="SHA512")
+    out = ef.fingerprint(out, source_fields=["abc"], target_field="fixed", method="SHA512")
+    length = F.length("fingerprint")
+    return out.agg(
+        F.count("*").alias("n"),
+        F.countDistinct("fingerprint").alias("digests"),
+        F.min(length).alias("shortest"),
+        F.max(length).alias("longest"),
+        F.bool_and(F.col("fixed") == ABC512).alias("known"),
+    )
 
 
 @query("passthrough", "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region")

@@ -66,17 +66,37 @@ def _(spark, sf):
 
 
 def bucket(key: str) -> str:
-    return f"('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 10000"
+    return f"('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 15))::BIGINT"
 
 
-@query("drop_percentage_keyed", KEPT + f"NOT (event_type = 'view' AND {bucket('event_id')} < 3000)")
+def cut(rate: float) -> int:
+    return round(rate * 2**60)
+
+
+@query("drop_percentage_keyed", KEPT + f"NOT (event_type = 'view' AND {bucket('event_id')} < {cut(0.3)})")
 def _(spark, sf):
     return _kept(ef.drop(table(spark, sf, "events"), if_field="event_type", equals="view", percentage=30, key="event_id"))
 
 
-@query("drop_percentage")
+def _within(df, total, low, high):
+    """Whether a random choice kept a plausible share, and that it kept whole rows only once."""
+    none = F.lit(0).cast("bigint")
+    kept = df.agg(F.count("*").alias("kept"), F.countDistinct("event_id").alias("ids"), none.alias("total"))
+    every = total.agg(none.alias("kept"), none.alias("ids"), F.count("*").alias("total"))
+    sums = kept.unionByName(every).agg(*[F.sum(c).alias(c) for c in ("kept", "ids", "total")])
+    share = F.col("kept") / F.col("total")
+    return sums.select("total", share.between(low, high).alias("within"), (F.col("kept") == F.col("ids")).alias("once"))
+
+
+@query("drop_percentage", "SELECT count(*) AS total, TRUE AS within, TRUE AS once FROM events")
+def _(spark, sf):
+    df = table(spark, sf, "events")
+    return _within(ef.drop(df, percentage=50, seed=7), df, 0.4, 0.6)
+
+
+@query("drop_percentage_small", KEPT + f"NOT ({bucket('event_id')} < {cut(0.00005)})")
 def _(spark, sf):
-    return _kept(ef.drop(table(spark, sf, "events"), percentage=50, seed=7))
+    return _kept(ef.drop(table(spark, sf, "events"), percentage=0.005, key="event_id"))
 
 
 @query("conditional_eq", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey <> 370")
@@ -155,9 +175,15 @@ def _(spark, sf):
     return ef.json_validate(table(spark, sf, "events"), source_field="event_type", fail_on_invalid=False).select("event_id")
 
 
-@query("sample_rate")
+@query("sample_rate", "SELECT count(*) AS total, TRUE AS within, TRUE AS once FROM events")
+def _(spark, sf):
+    df = table(spark, sf, "events")
+    return _within(ef.sample(df, rate=0.5, seed=11), df, 0.4, 0.6)
+
+
+@query("sample_keyed_small", KEPT + f"{bucket('event_id')} < {cut(0.0005)}")
 def _(spark, sf):
-    return _kept(ef.sample(table(spark, sf, "events"), rate=0.5, seed=11))
+    return _kept(ef.sample(table(spark, sf, "events"), rate=0.0005, key="event_id"))
 
 
 @query("sample_bounds", KEPT + "event_type = 'error'")
@@ -168,6 +194,6 @@ def _(spark, sf):
     return _kept(all_errors.unionByName(nothing))
 
 
-@query("sample_keyed", KEPT + f"{bucket('event_id')} < 2500")
+@query("sample_keyed", KEPT + f"{bucket('event_id')} < {cut(0.25)}")
 def _(spark, sf):
     return _kept(ef.sample(table(spark, sf, "events"), percentage=25, key="event_id"))

@@ -6,20 +6,22 @@ import eventflow as ef
 
 from .base import query, table
 
-ENRICHED = """SELECT event_id, c_name AS name, c_mktsegment AS segment FROM events
-    LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) ON c_custkey = user_id"""
+# Every tenth event has a user that is no customer.
+USER = "user_id + CASE WHEN event_id % 10 = 0 THEN 1000000000 ELSE 0 END"
+ENRICHED = f"""SELECT event_id, c_name AS name, c_mktsegment AS segment FROM events
+    LEFT JOIN customer ON c_custkey = {USER}"""
 
 
 def _customers(spark, sf):
-    """Customers without every tenth one, and with a later second row per key that must never win."""
-    rows = table(spark, sf, "customer").where("c_custkey % 10 <> 0").withColumn("pos", F.lit(1))
+    """Customers, with a later second row per key that must never win."""
+    rows = table(spark, sf, "customer").withColumn("pos", F.lit(1))
     later = rows.withColumns({"pos": F.lit(2), "c_name": F.lit("later")})
     return rows.unionByName(later)
 
 
 def _enriched(spark, sf, broadcast):
     out = ef.enricher(
-        table(spark, sf, "events"),
+        table(spark, sf, "events").withColumn("user_id", F.expr(USER)),
         enricher_id="customers",
         source_field="user_id",
         target_field="customer",
@@ -91,6 +93,33 @@ def _(spark, sf):
     return _located(spark, sf, False)
 
 
+# All of 10/8, one /16 in it for each user, and 200 ranges of a /24 or less in that.
+NESTED = """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'net' WHEN event_id % 3 = 1 THEN 'block' || (user_id % 200) ELSE 'wide' END AS city FROM events"""
+
+
+def _nested(spark, sf, broadcast):
+    users = spark.range(200).withColumnRenamed("id", "u")
+    row = lambda df, a, b, city: df.select(F.expr(a).alias("start_ip"), F.expr(b).alias("end_ip"), F.expr(city).alias("city_name"))
+    ranges = row(spark.range(1), "'10.0.0.0'", "'10.255.255.255'", "'wide'")
+    ranges = ranges.union(row(spark.range(1), "'10.7.0.0'", "'10.7.255.255'", "'net'"))
+    ranges = ranges.union(row(users, "concat('10.7.', u, '.16')", "concat('10.7.', u, '.99')", "concat('block', u)"))
+    address = """CASE event_id % 3 WHEN 0 THEN concat('10.7.', user_id % 200, '.', 100 + event_id % 100)
+        WHEN 1 THEN concat('10.7.', user_id % 200, '.', 16 + event_id % 84) ELSE concat('10.', 8 + user_id % 200, '.1.1') END"""
+    df = table(spark, sf, "events").select("event_id", F.expr(address).alias("ip_address"))
+    out = ef.geoip(df, fields=["city_name"], tables={"geoip": ranges}, broadcast=broadcast)
+    return out.select("event_id", "geoip.city")
+
+
+@query("geoip_nested", NESTED)
+def _(spark, sf):
+    return _nested(spark, sf, None)
+
+
+@query("geoip_nested_shuffle_join", NESTED)
+def _(spark, sf):
+    return _nested(spark, sf, False)
+
+
 @query(
     "geoip_v6",
     """SELECT event_id, n_name AS country FROM events LEFT JOIN nation ON n_nationkey = user_id % 30""",

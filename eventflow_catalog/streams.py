@@ -56,7 +56,7 @@ def _(spark, sf):
 def _(spark, sf):
     out, checkpoint = ef.scratch_dir(spark, "agents"), ef.scratch_dir(spark, "checkpoint")
     stream = _stream(spark, sf).withColumn("user_agent", F.expr(AGENT))
-    run = run_stream(stream, [{"type": "useragent", "config": {"distinct": True}}], out, checkpoint, partition_by=())
+    run = run_stream(stream, [{"type": "useragent", "config": {"distinct": True}}], out, checkpoint, partition_by=(), batches=True)
     run.awaitTermination()
     return ef.read_events(spark, out, "event_id bigint, ua struct<os:string>").select("event_id", "ua.os")
 

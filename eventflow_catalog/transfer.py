@@ -149,6 +149,71 @@ def _(spark, sf):
     return ef.select_source_files(keys(spark, sf), tenants).select("event_id", "tenant_id")
 
 
+@query(
+    "read_write_undeclared_fields",
+    """SELECT event_id, event_type, value, props, 'x' || user_id AS extra, CASE WHEN event_id % 2 = 0 THEN 'text' ELSE CAST(user_id AS VARCHAR) END AS user_id,
+       't' || event_type AS tag FROM events""",
+)
+def _(spark, sf):
+    source, target = ef.scratch_dir(spark, "lines"), ef.scratch_dir(spark, "back")
+    typed = F.expr("CASE WHEN event_id % 2 = 0 THEN '\"text\"' ELSE cast(user_id AS string) END")
+    line = F.concat(
+        F.lit('{"user_id":'), typed, F.lit(","), F.substring(F.to_json(F.struct("event_id", "event_type", "value", "props", F.concat(F.lit("x"), "user_id").alias("extra"))), 2, 100000)
+    )
+    table(spark, sf, "events").select(line.alias("value")).write.text(source)
+    # only two members are declared, one of them with a type that half of the lines do not have
+    df = ef.read_events(spark, source, "event_id bigint, user_id bigint")
+    df = ef.run_pipeline(df, [{"type": "add_field", "config": {"field": "tag", "value": "t"}}])
+    df = df.withColumn("tag", F.concat("tag", F.try_element_at("_rest", F.lit("event_type")).cast("string")))
+    ef.write_events(df, target, partition_by=())
+    return spark.read.schema(
+        "event_id bigint, event_type string, value double, props string, extra string, user_id string, tag string"
+    ).json(target)
+
+
+@query(
+    "variant_chain",
+    """SELECT event_id, value AS amount, 'click' AS event_type, 'eventflow' AS processed_by, 'v' AS mark FROM events WHERE event_type = 'click'""",
+)
+def _(spark, sf):
+    source, target = ef.scratch_dir(spark, "lines"), ef.scratch_dir(spark, "back")
+    table(spark, sf, "events").select(F.to_json(F.struct("event_id", "event_type", "value")).alias("value")).write.text(source)
+    df = ef.read_events(spark, source)
+    chain = [
+        {"type": "include", "config": {"field": "event_type", "equals": "click"}},
+        {"type": "rename_field", "config": {"from": "value", "to": "amount"}},
+        {"type": "add_field", "config": {"field": "mark", "value": "v"}},
+    ]
+    df = ef.run_pipeline(ef.run_pipeline(df, chain), None)
+    ef.write_events(df, target, partition_by=())
+    names = "event_id bigint, amount double, event_type string, processed_by string, mark string"
+    return spark.read.schema(names).json(target)
+
+
+@query("read_events_roots", "SELECT event_id, 't' || (user_id % 2) AS tenant_id, event_type AS dataset_id FROM events")
+def _(spark, sf):
+    roots = [ef.scratch_dir(spark, "root") for _ in range(2)]
+    df = table(spark, sf, "events").withColumns({"tenant": F.expr("concat('t', user_id % 2)"), "dataset": F.col("event_type")})
+    lines = df.select("tenant", "dataset", F.to_json(F.struct("event_id")).alias("value"))
+    for i, root in enumerate(roots):
+        lines.where(F.col("tenant") == f"t{i}").write.partitionBy("tenant", "dataset").text(root)
+    return ef.read_events(spark, roots, "event_id bigint", path_metadata=True).select("event_id", "tenant_id", "dataset_id")
+
+
+@query(
+    "read_csv_headers",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority,
+       FALSE AS bad FROM orders""",
+)
+def _(spark, sf):
+    path = ef.scratch_dir(spark, "headers")
+    orders = table(spark, sf, "orders")
+    orders.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus", "o_orderpriority").write.csv(path, header=True)
+    orders.where("o_orderkey % 2 <> 0").select("o_orderstatus", "o_orderkey").write.mode("append").csv(path, header=True)
+    out = ef.read_delimited(spark, path)
+    return out.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("_error").isNotNull().alias("bad"))
+
+
 def _delimited(spark, sf, delimiter):
     path = ef.scratch_dir(spark, "delimited")
     df = table(spark, sf, "orders").select("o_orderkey", F.expr("concat(o_orderpriority, ', \"', o_orderstatus, '\"')").alias("note"))
