@@ -69,6 +69,12 @@ def severity(rate: Column, threshold: float) -> Column:
     return F.when(rate >= threshold * 2, "critical").when(rate >= threshold * 1.5, "high").otherwise("medium")
 
 
+def check_second(time_column: str, check_seconds: int) -> Column:
+    """Second of the first check at or after a result."""
+    stamp = tx.field(time_column).cast("timestamp")
+    return F.ceil(F.unix_micros(stamp) / F.lit(check_seconds * 1000000)).cast("bigint") * check_seconds
+
+
 def check_points(
     rates: DataFrame, time_column: str, order_by: tuple[str, ...], check_seconds: int, by: tuple[str, ...] = KEY
 ) -> DataFrame:
@@ -77,14 +83,10 @@ def check_points(
     A check sees the last result before it; the reduction to one row per dataset and check is
     an aggregate with partial results.
     """
-    def check_of(column: str) -> Column:
-        stamp = tx.field(column).cast("timestamp")
-        return F.ceil(F.unix_micros(stamp) / F.lit(check_seconds * 1000000)).cast("bigint") * check_seconds
-
-    check = check_of(time_column)
+    check = check_second(time_column, check_seconds)
     if tx.has(rates, "_next"):
         # Only the last result of a check (and of a range) can be the one the check sees.
-        rates = rates.where(F.col("_next").isNull() | (check_of("_next") != check))
+        rates = rates.where(F.col("_next").isNull() | (check_second("_next", check_seconds) != check))
     last = F.struct(*[tx.field(o) for o in order_by])
     state = F.struct("recent_samples", "recent_failures", "failure_rate")
     checked = rates.groupBy(*[tx.field(k) for k in by], check.alias("check_second")).agg(
@@ -108,16 +110,14 @@ def failure_alerts(
 
     Checks happen every ``check_seconds``; after an alert a dataset is silent for
     ``cooldown_seconds``.  ``last_alerts`` (key columns and ``last_second``) continues the silence
-    of an earlier run.  What is folded per dataset is one element per check, so its length depends on the
-    time span only, not on the number of rows.
+    of an earlier run.  What is folded per dataset is one number per check that breaches, so its length depends on the
+    time span only, not on the number of rows; the details are joined to the checks that fire.
     """
     checks = check_points(rates, time_column, order_by, check_seconds, by)
     breaches = checks.where((F.col("failure_rate") >= threshold) & (F.col("recent_samples") >= minimum_samples))
     keys = [tx.field(k) for k in by]
     listed = breaches.groupBy(*keys).agg(
-        F.array_sort(
-            F.collect_list(F.struct("check_second", "recent_samples", "recent_failures", "failure_rate"))
-        ).alias("breaches")
+        F.array_sort(F.collect_list("check_second")).alias("breaches")
     )
     if last_alerts is None:
         listed = listed.withColumn("last_second", F.lit(None).cast("bigint"))
@@ -125,20 +125,17 @@ def failure_alerts(
         listed = listed.join(last_alerts.select(*by, "last_second"), list(by), "left")
 
     def fold(state: Column, breach: Column) -> Column:
-        due = state["last"].isNull() | (breach["check_second"] - state["last"] >= cooldown_seconds)
-        return F.when(
-            due,
-            F.struct(breach["check_second"].alias("last"), F.array_append(state["alerts"], breach).alias("alerts")),
-        ).otherwise(state)
-
-    element = "struct<check_second:bigint,recent_samples:bigint,recent_failures:bigint,failure_rate:double>"
-    start = F.struct(F.col("last_second").alias("last"), F.array().cast(f"array<{element}>").alias("alerts"))
-    fired = listed.select(*keys, F.explode(F.aggregate("breaches", start, fold)["alerts"]).alias("a"))
-    return fired.select(
+        due = state["last"].isNull() | (breach - state["last"] >= cooldown_seconds)
+        return F.when(due, F.struct(breach.alias("last"), F.array_append(state["alerts"], breach).alias("alerts"))).otherwise(state)
+
+    start = F.struct(F.col("last_second").alias("last"), F.array().cast("array<bigint>").alias("alerts"))
+    fired = listed.select(*keys, F.explode(F.aggregate("breaches", start, fold)["alerts"]).alias("check_second"))
+    same = [F.col(f"b.{k}").eqNullSafe(F.col(f"f.{k}")) for k in by] + [F.col("b.check_second") == F.col("f.check_second")]
+    return breaches.alias("b").join(fired.alias("f"), same, "left_semi").select(
         *keys,
-        F.timestamp_seconds("a.check_second").alias("alert_time"),
-        "a.recent_samples",
-        "a.recent_failures",
-        "a.failure_rate",
-        severity(F.col("a.failure_rate"), threshold).alias("severity"),
+        F.timestamp_seconds("check_second").alias("alert_time"),
+        "recent_samples",
+        "recent_failures",
+        "failure_rate",
+        severity(F.col("failure_rate"), threshold).alias("severity"),
     )

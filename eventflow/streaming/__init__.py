@@ -1,6 +1,6 @@
 """Structured Streaming runs of filter chains, metrics and alerts."""
 
-from .alerts import alert_stream
+from .alerts import alert_stream, finish_alerts
 from .runner import metrics_stream, refreshing_stream, run_stream
 
-__all__ = ["alert_stream", "metrics_stream", "refreshing_stream", "run_stream"]
+__all__ = ["alert_stream", "finish_alerts", "metrics_stream", "refreshing_stream", "run_stream"]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import eventflow as ef
-from eventflow.streaming import alert_stream, metrics_stream, refreshing_stream, run_stream
+from eventflow.streaming import alert_stream, finish_alerts, metrics_stream, refreshing_stream, run_stream
 from eventflow.streaming.runner import latest_metrics
 
 from .base import EVENTS, query, table
@@ -82,13 +82,17 @@ def _(spark, sf):
     )
 
 
-@query("stream_failure_alerts")
+@query("stream_failure_alerts", ALERTS)
 def _(spark, sf):
     out, state, checkpoint = (ef.scratch_dir(spark, n) for n in ("alerts", "state", "checkpoint"))
     stream = _stream(spark, sf).withColumns(
         {"failed": F.col("event_type") == "error", "dataset_id": F.expr("concat('d', user_id % 2)")}
     )
-    alert_stream(stream, "failed", "at", ("at", "event_id"), out, state, checkpoint).awaitTermination()
+    # the files are picked up in any order, with two in a batch: the delay covers the whole table
+    delay = 10**9
+    run = alert_stream(stream, "failed", "at", ("at", "event_id"), out, state, checkpoint, delay_seconds=delay)
+    run.awaitTermination()
+    finish_alerts(spark, run.lastProgress["batchId"], out, state, ("at", "event_id"))
     alerts = spark.read.parquet(out).drop("batch")
     return alerts.withColumn("alert_time", F.date_format("alert_time", "yyyy-MM-dd'T'HH:mm:ss"))
 

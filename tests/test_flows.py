@@ -7,7 +7,8 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 import eventflow as ef
-from eventflow.streaming import alert_stream
+from eventflow.operators import enrich
+from eventflow.streaming import alert_stream, finish_alerts, run_stream
 from eventflow.streaming.runner import AVAILABLE_NOW
 
 
@@ -67,15 +68,21 @@ def test_alerts_equal_brute_force(spark):
 def test_alert_stream_equals_batch(spark, tmp_path):
     df = results(spark, 1500)
     source = str(tmp_path / "in")
-    # Batches end at checks, so that every check sees the same results in both runs.
-    cuts = [1700000000, 1700006400, 1700019900, 1700040000]
-    for i, (low, high) in enumerate(zip(cuts, cuts[1:])):
-        part = df.where((F.unix_seconds("at") > low) & (F.unix_seconds("at") <= high) | (F.lit(i == 0) & (F.unix_seconds("at") <= low)))
+    # Batches end inside checks, and rows of a batch may belong up to 20 minutes before its start.
+    cuts = [1700000000, 1700006333, 1700019777, 1700040000]
+    part_of = F.unix_seconds("at") + (F.col("id") % 7) * 170
+    runs = []
+    for i, (low, high) in enumerate(zip(cuts, [*cuts[1:], 1 << 40])):
+        part = df.where((part_of > low) & (part_of <= high) | (F.lit(i == 0) & (part_of <= low)))
         part.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(df.schema).parquet(source)
-        alert_stream(
-            stream, "failed", "at", ("at", "id"), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "cp"), trigger=AVAILABLE_NOW
-        ).awaitTermination()
+        run = alert_stream(
+            stream, "failed", "at", ("at", "id"), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "cp"),
+            delay_seconds=1200, trigger=AVAILABLE_NOW,
+        )
+        run.awaitTermination()
+        runs.append(run.lastProgress["batchId"])
+    finish_alerts(spark, max(runs), str(tmp_path / "out"), str(tmp_path / "state"), ("at", "id"))
     columns = ["dataset_id", "alert_time", "recent_samples", "recent_failures", "severity"]
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(columns).collect()))
     batch = ef.failure_alerts(ef.failure_rate(df, "failed", ("at", "id")), "at", ("at", "id"))
@@ -93,7 +100,7 @@ def test_read_write_round_trip(spark, tmp_path):
     chained = ef.run_pipeline(df, [{"type": "add_field", "config": {"field": "z", "value": "1"}}])
     ef.write_events(chained, str(tmp_path / "out"), partition_by=())
     lines = [line for f in glob.glob(str(tmp_path / "out" / "*.gz")) for line in gzip.open(f, "rt").read().splitlines()]
-    assert sorted(lines) == sorted(['{"x":1,"y":"s","z":"1"}', "broken", '{"z":"1"}', "[1]"])
+    assert sorted(lines) == sorted(['{"x":1,"y":"s","z":"1"}', "broken", '{"z":"1","x":"text"}', "[1]"])
 
 
 def test_path_metadata_of_files(spark, tmp_path):
@@ -163,3 +170,38 @@ def test_catalogue_small(spark, sf):
     con = connect(sf)
     problems = {n: p for n in ORACLES if (p := compare(spark, con, n, QUERIES[n], ORACLES[n], sf))}
     assert problems == {}
+
+
+def test_stream_output_survives_a_grown_lookup(spark, tmp_path):
+    source, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    chain = [{"type": "enricher", "config": {"enricher_id": "l", "source_field": "k", "target_field": "e"}}]
+    for i, rows in enumerate((10, 100)):
+        spark.createDataFrame([(f"k{i}", i)], "k string, id bigint").write.mode("append").parquet(source)
+        lookup = spark.range(rows).selectExpr("concat('k', id) AS k", "id AS v")
+        stream = spark.readStream.schema("k string, id bigint").parquet(source)
+        before, enrich.BROADCAST_ROWS = enrich.BROADCAST_ROWS, 50
+        try:
+            run_stream(stream, chain, out, checkpoint, {"l": lookup}, partition_by=()).awaitTermination()
+        finally:
+            enrich.BROADCAST_ROWS = before
+    rows = ef.read_events(spark, out, "id bigint, e struct<v:bigint>").select("id", "e.v").collect()
+    assert sorted(map(tuple, rows)) == [(0, 0), (1, 1)]
+
+
+def test_conditional_custom_steps_read_once(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "in"))
+    ef.register_filter("plus_one", lambda df, config: df.withColumn("n", F.col("n") + 1))
+    df = spark.read.parquet(str(tmp_path / "in")).withColumn("n", F.lit(0))
+    out = ef.run_pipeline(df, [{"type": "plus_one", "config": {}, "condition": "id % 2 = 0"}] * 6)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {(r.id % 2, r.n) for r in out.collect()} == {(0, 6), (1, 0)}
+
+
+def test_files_are_scanned_as_often_as_needed(spark, tmp_path):
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    spark.range(9).selectExpr("concat('t--d--', if(id % 2 = 0, 'cef', 'influx'), '.gz') AS _file", "'x v=1' AS value").write.parquet(str(tmp_path / "l"))
+    assert scans(ef.parse_by_hint(spark.read.parquet(str(tmp_path / "l")), formats=["cef", "influx", "syslog"])) == 1
+    spark.range(9).selectExpr("concat('k', id) AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    joined = ef.enricher(table, enricher_id="t", source_field="k", target_field="e", tables={"t": table}, broadcast=False)
+    assert scans(joined) == 2 and joined.count() == 9
