@@ -30,9 +30,10 @@ AROUND = frozenset("nav footer aside form menu dialog button search".split())
 AROUND_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar sidenav menu menubar nav navbar"
     " navigation breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert popup modal overlay"
-    " newsletter subscribe subscription signup login comment comments disqus replies respond share sharing social related recommended"
+    " newsletter subscribe subscription signup login comment comments disqus reply replies respond discussion feedback share sharing social related recommended"
     " widget widgets pagination pager skip contentinfo complementary".split()
 )
+TITLED = frozenset("article content entry post story title".split())
 MAIN = frozenset(["article", "main"])
 COMPOUND = re.compile(r"(?:side|nav|tool|menu|cookie|foot|comment|advert|breadcrumb)")
 
@@ -73,10 +74,15 @@ def marks(attrs: str) -> list[str]:
 
 
 def partners(stream: list[tuple[int, str, str]]) -> dict[int, int]:
-    """Where each element ends; elements that are never closed are left out."""
+    """Where each element ends; elements that are never closed are left out.
+
+    A paragraph also ends before the next block, and with the element around it.
+    """
     waiting: dict[str, list[int]] = {}
     out = {}
     for i, (kind, name, attrs) in enumerate(stream):
+        if kind != TEXT and name in BLOCKS and waiting.get("p") and not (kind == CLOSE and name == "p"):
+            out[waiting["p"].pop()] = i - 1
         if kind == OPEN and name not in VOID and not attrs.endswith("/"):
             waiting.setdefault(name, []).append(i)
         elif kind == CLOSE and waiting.get(name):
@@ -99,6 +105,8 @@ def around(name: str, attrs: str, inside_main: bool) -> bool:
     if not attrs or name in ("html", "body") or name in MAIN:
         return False
     words = marks(attrs)
+    if "header" in words and not inside_main and not TITLED.intersection(words):
+        return True
     return bool(AROUND_WORDS.intersection(words)) or bool(HIDDEN.search(attrs)) or any(
         len(w) > 5 and COMPOUND.match(w) and w not in ("sides", "footed", "commentary") for w in words
     )

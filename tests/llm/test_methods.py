@@ -230,6 +230,8 @@ def test_page_of_many_parts():
     for odd in ("", "<", "<p", "plain text", "<p>a<p>b", "<div class='ad'>never closed <p>text of it</p>", "<!-- open"):
         H.main_text(odd, weights)
     assert H.main_text("<p>a<p>b &amp c", weights) == "a\nb & c"
+    open_ = '<div class="site-header"><p>top no</div><article><p class="notice">no<p>yes one<div class=reply-box>no</div><p>two</article>'
+    assert H.main_text(open_, weights) == "yes one\ntwo"
 
 
 # op7
