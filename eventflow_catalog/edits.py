@@ -398,3 +398,24 @@ def _(spark, sf):
         copy={"raw": "origin"},
         replace={"origin": "web"},
     )
+
+
+@query(
+    "json_flatten_nested",
+    """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS first, o_orderstatus AS second, o_orderpriority AS third, 4 AS leaves,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'deep' ELSE 'x{y' END AS last FROM orders""",
+)
+def _(spark, sf):
+    text = """concat('{"a":{"b":[', o_custkey, ',{"c":"', o_orderstatus, '"}]},"d":{"e":{"f":"', o_orderpriority, '"}},"empty":{},',
+        if(o_orderkey % 2 = 0, '"g":{"h":{"i":{"j":"deep"}}}}', '"g":{"h":{"i":{"j":"x{y"}}}}'))"""
+    df = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.expr(text).alias("doc"))
+    out = ef.json_flatten(df, source_field="doc", target_field="flat")
+    leaf = lambda path: F.try_element_at("flat", F.lit(path)).cast("string")
+    return out.select(
+        "o_orderkey",
+        leaf("a.b.0").alias("first"),
+        leaf("a.b.1.c").alias("second"),
+        leaf("d.e.f").alias("third"),
+        F.size("flat").alias("leaves"),
+        leaf("g.h.i.j").alias("last"),
+    )
