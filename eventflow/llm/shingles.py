@@ -13,7 +13,7 @@ import xxhash
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 SPREAD = np.uint64(0xFF51AFD7ED558CCD)
 # Rows of a batch that are taken at once hold so many bytes of text, about.
-PIECE_BYTES = 8_000_000
+PIECE_BYTES = 1_000_000
 
 
 def pieces(batch: pa.RecordBatch, column: str | int) -> Iterator[pa.RecordBatch]:
