@@ -52,11 +52,6 @@ def frequency_sketch(texts: DataFrame, k: int) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _ceil_part(n: Column | int, over: int, under: int):
-    """The least whole number that is at least ``n * over / under``."""
-    return -((-n * over) // under)
-
-
 SET = "doc_id bigint, n int, d1 bigint, d2 bigint, p1 bigint, prefix array<bigint>"
 
 
@@ -179,7 +174,7 @@ def similar_documents(docs: DataFrame, k: int = 5, over: int = 80, under: int =
 
     stars = shared.filter("g != h").filter(_within("n", "m", over, under) & _reach("n", "at", "m", "to", over, under))
     stars = stars.select(F.least("g", "h").alias("a"), F.greatest("g", "h").alias("b")).distinct()
-    first = store(_expanded(stars, inside, None).union(inside.filter("member != group").select("group", "member")).distinct(), "pairs")
+    first = store(_expanded(stars, inside).union(inside.filter("member != group").select("group", "member")).distinct(), "pairs")
     links = store(verified(first, texts, k, over, under), "links")
     labels = components(links)
 
@@ -200,7 +195,7 @@ def similar_documents(docs: DataFrame, k: int = 5, over: int = 80, under: int =
     )
 
 
-def _expanded(pairs: DataFrame, inside: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _expanded(pairs: DataFrame, inside: DataFrame) -> DataFrame:
     """Pairs of groups as pairs of their members; a group without other members stands for itself."""
     m = inside.select("group", "member")
     left = pairs.join(m.toDF("a", "x"), "a", "left").select(F.coalesce("x", "a").alias("a"), "b")
@@ -224,14 +219,15 @@ def _left(shared: DataFrame, inside: DataFrame, labels: DataFrame, over: int, un
     others = posts.join(outside.select("token").distinct(), "token", "left_semi")
     others = others.select("token", F.col("g").alias("h"), F.col("n").alias("m"), F.col("at").alias("to"), F.col("c").alias("d"), F.col("open").alias("open2"))
     near = _within("n", "m", over, under) & _reach("n", "at", "m", "to", over, under)
-    pairs = outside.join(others, (outside["token"] == others["token"]) & (F.col("g") != F.col("h")) & ((F.col("c") != F.col("d")) | F.col("open") | F.col("open2")) & near)
+    apart = (F.col("g") != F.col("h")) & ((F.col("c") != F.col("d")) | F.col("open") | F.col("open2"))
+    pairs = outside.join(others, (outside["token"] == others["token"]) & apart & near)
     pairs = pairs.select(F.least("g", "h").alias("a"), F.greatest("g", "h").alias("b")).distinct()
     # members of one group that are in different components
-    loose = own_pairs(inside, of)
-    return _expanded(pairs, inside, labels).union(loose).distinct()
+    return _expanded(pairs, inside).union(_apart_in_groups(inside, of)).distinct()
 
 
-def own_pairs(inside: DataFrame, of: DataFrame) -> DataFrame:
+def _apart_in_groups(inside: DataFrame, of: DataFrame) -> DataFrame:
+    """Pairs of members of one group in different components, one of them outside that of the group's first member."""
     placed = inside.join(of, "member", "left").select("group", "member", F.coalesce("component", "member").alias("c"))
     main = placed.filter("member = group").select("group", F.col("c").alias("main"))
     out = placed.join(main, "group").filter("c != main").select("group", F.col("member").alias("x"), F.col("c").alias("cx"))
