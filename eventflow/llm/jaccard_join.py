@@ -163,7 +163,7 @@ def similar_documents(docs: DataFrame, k: int = 5, over: int = 80, under: int =
     crowds = broadcast_if_small(store(crowds.select("p1", "n", "group"), "crowds"))
     inside = heads.select("doc_id", "p1", "n").join(crowds, ["p1", "n"]).select("group", F.col("doc_id").alias("member"))
     inside = store(inside, "inside")
-    # all but the groups' other members are posted
+    # all but the groups' other members are posted, straight from the stored classes
     others = broadcast_if_small(store(inside.filter("member != group").select(F.col("member").alias("doc_id")).distinct(), "others"))
     posted = heads.join(others, "doc_id", "left_anti")
     posted = posted.select(F.col("doc_id").alias("g"), "n", F.posexplode("prefix").alias("at", "token"))
