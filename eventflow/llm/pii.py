@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, store, without
+from .common import broadcast_if_small, partitions, running, store, without
 
 # Forms of address by gender (f, m, or x for either), and the syllables names are built from by script.
 ADDRESS = {
@@ -26,22 +26,30 @@ ENDINGS = {
 
 _FORMS = "|".join(w for words in ADDRESS.values() for w in words.split())
 _NAME = r"\p{Lu}[\p{L}\p{M}'’]+"
-SECRET = r"(?i:password|passwd|passphrase|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+# The words for a secret, anywhere in a name such as DB_PASSWORD or secretKey; the last one in a name begins the match, so a name is read once.
+_WORDS = r"(?i:password|passwd|passphrase|pwd|token(?!i[sz])|secret(?!ar[iy]|ion|ive|ly)|api[_-]?key|access[_-]?key)"
+SECRET = rf"{_WORDS}(?:(?!{_WORDS})[A-Za-z0-9_-])*+[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?"
+_IP = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d)"
+# A telephone number ends before an address, and has seven digits or more.
+_MORE = rf"(?![ -]{_IP})[ .-]?"
+_SEVEN = r"(?<=" + r"\d[ .()-]{0,3}" * 6 + r"\d)"
 PATTERNS = {
     "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "secret": rf"\b{SECRET}[A-Za-z0-9+/_.~-]{{6,}}",
+    "secret": rf"{SECRET}[A-Za-z0-9+/_.~-]{{6,}}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "person": rf"(?<!\p{{L}})(?:{_FORMS})\.?\s{{1,3}}{_NAME}(?:[ -]{_NAME}){{0,2}}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "card": r"(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "ip": r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]|\.\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
+    "ip": rf"(?<![\w.]){_IP}",
+    "phone": rf"(?<![\w+])(?:\+\d{{1,3}}(?:{_MORE}\(\d{{1,4}}\))?(?:{_MORE}\d{{2,5}}){{2,5}}{_SEVEN}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?!\w)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What a text must have for any of the patterns to match.
-HINT = rf"[0-9@]|(?i:password|passphrase|pwd|token|secret|key)|(?:{_FORMS})\.?\s"
+HINT = rf"[0-9@]|(?i:password|passwd|passphrase|pwd|token|secret|key)|(?:{_FORMS})\.?\s"
 ATTEMPTS = 64
+# What is left after the attempts is placed by rank, from so many choices a value at first.
+SPAN, MOST = 4, 10**12
 
 OUTPUT = ("n_entities", "kinds", "surrogates")
 
@@ -131,6 +139,16 @@ def _check_digit(body: Column) -> Column:
     return (10 - total % 10) % 10
 
 
+def _script(value: Column) -> Column:
+    return F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").when(value.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
+
+
+def _ending(kind: Column, value: Column) -> Column:
+    # a Slavic surname has a gender of its own
+    slavic = (kind == "surname") & (_script(value) == "cyrillic") & value.rlike("[ая]$")
+    return F.when(slavic, "sf").when(kind == "surname", "s").otherwise(F.regexp_extract(kind, "_(.)$", 1))
+
+
 def fake_value(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     """A value of the same type, without format as ``parts_of`` has it."""
     s = _stream(key, kind, value, attempt)
@@ -154,9 +172,7 @@ def fake_value(key: str, kind: Column, value: Column, attempt: Column) -> Column
               _same_classes(F.when(kind == "key", F.substring(value, 5, 1000)).otherwise(F.substring(value, 3, 1000)), s)))
         .when(kind == "secret", _same_classes(value, s))
     )
-    script = F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").when(value.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
-    # a Slavic surname has a gender of its own
-    ending = F.when((kind == "surname") & value.rlike("[ая]$"), "sf").when(kind == "surname", "s").otherwise(F.regexp_extract(kind, "_(.)$", 1))
+    script, ending = _script(value), _ending(kind, value)
     for name, syllables in SYLLABLES.items():
         table = F.array(*[F.lit(x) for x in syllables])
         stem = F.concat(*[F.element_at(table, _number(s, i, len(syllables)) + 1) for i in range(4)])
@@ -165,6 +181,117 @@ def fake_value(key: str, kind: Column, value: Column, attempt: Column) -> Column
     return out
 
 
+def _same_choices(value: Column) -> Column:
+    """For each letter and digit those of ``_same_classes``, for others themselves."""
+    hexadecimal = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+    low = F.when(hexadecimal, _strings("abcdef")).otherwise(_strings("abcdefghijklmnopqrstuvwxyz"))
+    return F.transform(
+        _chars(value),
+        lambda c: F.when(c.rlike("[0-9]"), _strings("0123456789"))
+        .when(c.rlike("[a-z]"), low)
+        .when(c.rlike("[A-Z]"), F.transform(low, F.upper))
+        .otherwise(F.array(c)),
+    )
+
+
+def _strings(values) -> Column:
+    return F.array(*[F.lit(str(x)) for x in values])
+
+
+def choices(key: str, kind: Column, value: Column, width: Column) -> Column:
+    """All surrogates of the format of ``fake_value`` as the choices for each place, with ``width`` places more than it has."""
+    digit, lead = _strings(range(10)), F.array(_strings(range(2, 10)))
+    one = lambda x: F.array(F.array(x))
+    more = F.array_repeat(digit, width)
+    domain = F.substring_index(value, "@", -1)
+    host = _same_classes(F.substring_index(domain, ".", 1), _stream(key, F.lit("domain"), domain, F.lit(0)))
+    at = F.concat(F.lit("@"), host, F.lit(".example."), F.substring_index(domain, ".", -1))
+    country, rest = F.substring_index(value, "|", 1), F.substring_index(value, "|", -1)
+    valid = _check_digit(F.substr(value, F.lit(1), F.length(value) - 1)).cast("string") == F.substring(value, -1, 1)
+    # the last place of a card is what its check digit is off by
+    card = F.concat(one(F.substring(value, 1, 1)), F.array_repeat(digit, F.length(value) - 2), more, F.array(F.when(valid, _strings("0")).otherwise(_strings(range(1, 10)))))
+    octet = _strings(f".{i}" for i in range(256))
+    narrow = F.array(_strings(range(11, 100)), octet, octet, _strings(f".{i}" for i in range(1, 255)))
+    # the whole address space, then places after it
+    address = F.when(width == 0, narrow).otherwise(F.concat(F.array(_strings(range(256)), octet, octet, octet), F.array_repeat(octet, width - 1)))
+    out = (
+        F.when(kind == "email", F.concat(_same_choices(F.substring_index(value, "@", 1)), more, one(at)))
+        .when(kind == "phone", F.concat(one(F.concat(country, F.lit("|"))), lead, F.array_repeat(digit, F.length(rest) - 1), more))
+        .when(kind == "card", card)
+        .when(kind == "ssn", F.concat(one(F.lit("9")), lead, F.array_repeat(digit, F.lit(7)), more))
+        .when(kind == "ip", address)
+        .when(kind == "key", F.concat(one(F.substring(value, 1, 4)), _same_choices(F.substring(value, 5, 1000)), more))
+        .when(kind == "iban", F.concat(one(F.substring(value, 1, 2)), _same_choices(F.substring(value, 3, 1000)), more))
+        .when(kind == "secret", F.concat(_same_choices(value), more))
+    )
+    script, ending = _script(value), _ending(kind, value)
+    for name, syllables in SYLLABLES.items():
+        last = F.element_at(F.create_map(*[F.lit(x) for pair in ENDINGS[name].items() for x in pair]), ending)
+        out = out.when(script == name, F.concat(F.array_repeat(_strings(syllables), width + 4), one(last)))
+    return out
+
+
+def chosen(kind: Column, places: Column, number: Column) -> Column:
+    """The surrogate of this number, from 0, among those of ``choices``; a bijection up to MOST."""
+    start = F.struct(number.cast("long").alias("n"), F.lit("").alias("text"))
+
+    def step(a: Column, c: Column) -> Column:
+        i = F.pmod(a["n"], F.size(c).cast("long"))
+        return F.struct(((a["n"] - i) / F.size(c)).cast("long").alias("n"), F.concat(a["text"], F.element_at(c, i.cast("int") + 1)).alias("text"))
+
+    text = F.aggregate(places, start, step)["text"]
+    body = F.substr(text, F.lit(1), F.length(text) - 1)
+    check = (_check_digit(body) + F.substring(text, -1, 1).cast("int")) % 10
+    return F.when(kind == "card", F.concat(body, check.cast("string"))).when(kind.rlike("^(?:given_|surname)"), F.initcap(text)).otherwise(text)
+
+
+def _ranked(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``rows`` with their rank in their form, by range partitions."""
+    rows = running(rows.withColumn("__one", F.lit(1).cast("long")), [F.col("form"), *map(F.col, order)], {"__row": "__one"}, name)
+    first = rows.groupBy("form").agg(F.min("__row").alias("__first"))
+    return rows.join(first, "form").withColumn("rank", F.col("__row") - F.col("__first")).drop("__one", "__row", "__first")
+
+
+def placed_by_rank(left: DataFrame, taken: DataFrame, key: str) -> DataFrame:
+    """``kind, value, fake`` for the values ``left`` over: the n-th value of a format gets the n-th surrogate of it that is free.
+
+    ``taken`` are the ``space, fake`` that are not free.  The surrogates of a format are counted through from a place that the key
+    chooses, as many as its values need; if none at all is free, its values get a place more.  So every value is placed.
+    """
+    spark = left.sparkSession
+    left = left.select("space", "kind", "value", F.lit(0).alias("width"), F.lit(SPAN).cast("long").alias("tries"))
+    out = None
+    while True:
+        formed = left.withColumn("places", choices(key, F.col("kind"), F.col("value"), F.col("width")))
+        formed = formed.withColumns({"form": F.sha2(F.concat_ws("\x1f", "kind", F.to_json("places")), 256), "turn": F.sha2(F.concat_ws("\x1f", F.lit(key), "kind", "value"), 256)})
+        formed = store(formed, "formed")
+        size = F.aggregate("places", F.lit(1).cast("long"), lambda a, c: F.least(a * F.size(c), F.lit(MOST)))
+        forms = formed.groupBy("space", "kind", "form").agg(F.count("*").alias("n"), F.max("tries").alias("tries"), F.first("places").alias("places"))
+        forms = forms.withColumn("size", size).withColumn("span", F.least("size", F.col("n") * F.col("tries")))
+        forms = store(forms.withColumn("start", F.pmod(F.xxhash64(F.lit(key), "form"), F.col("size"))), "forms")
+        # numbers in lots of 1,000, so that one format's many are no single row
+        lots = forms.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("span") - 1) / 1000).cast("long")))).repartition(partitions(spark))
+        last = F.least(F.col("lot") * 1000 + 999, F.col("span") - 1)
+        each = lots.withColumn("k", F.explode(F.sequence(F.col("lot") * 1000, last)))
+        each = each.select("space", "form", "k", chosen(F.col("kind"), F.col("places"), (F.col("k") + F.col("start")) % F.col("size")).alias("fake"))
+        free = store(each.join(taken, ["space", "fake"], "left_anti"), "free")
+        # formats may have surrogates in common: each goes to one
+        offers = free.groupBy("space", "fake").agg(F.min(F.struct("form", "k")).alias("o")).select("space", "fake", "o.form", "o.k")
+        offers, wanted = _ranked(offers, ["k", "fake"], "offers"), _ranked(formed.select("space", "kind", "value", "form", "turn"), ["turn", "kind", "value"], "wanted")
+        won = store(wanted.join(offers.select("form", "rank", "fake"), ["form", "rank"]).select("space", "kind", "value", "fake"), "won")
+        out = won if out is None else out.unionByName(won)
+        some = free.groupBy("form").agg(F.lit(True).alias("some"))
+        lost = formed.join(won, ["space", "kind", "value"], "left_anti").select("space", "kind", "value", "width", "form")
+        lost = lost.join(forms.select("form", "size", "span", "tries").join(some, "form", "left"), "form")
+        full = F.col("span") == F.col("size")
+        wider = full & F.col("some").isNull()
+        tries = F.when(wider, F.lit(SPAN)).when(full, F.col("tries")).otherwise(F.col("tries") * 4)
+        left = store(lost.select("space", "kind", "value", (F.col("width") + wider.cast("int")).alias("width"), tries.cast("long").alias("tries")), "lost")
+        if left.isEmpty():
+            return out.select("kind", "value", "fake")
+        taken = taken.unionByName(won.select("space", "fake"))
+
+
 def dressed(found: Column, fakes: Column) -> Column:
     """The surrogate values in the format of the found piece."""
     kind, first = kind_of(found), F.element_at(fakes, 1)
@@ -174,7 +301,9 @@ def dressed(found: Column, fakes: Column) -> Column:
         rank = F.length(F.regexp_replace(F.substr(found, F.lit(1), i + 1), "[^A-Za-z0-9]", ""))
         return F.when(c.rlike("[A-Za-z0-9]"), F.substr(plain, rank, F.lit(1))).otherwise(c)
 
-    placed = F.array_join(F.transform(_chars(found), place), "")
+    # a surrogate wider than the value goes on after it
+    wider = F.substr(plain, F.length(F.regexp_replace(found, "[^A-Za-z0-9]", "")) + 1, F.length(plain))
+    placed = F.concat(F.array_join(F.transform(_chars(found), place), ""), wider)
     form, called = F.regexp_extract(found, r"^(\S+\s+)", 1), F.regexp_replace(found, r"^\S+\s+", "")
     spoken = F.when(kind == "person", called).otherwise(found)
     loud = (F.upper(spoken) == spoken) & (F.lower(spoken) != spoken)
@@ -189,37 +318,42 @@ def dressed(found: Column, fakes: Column) -> Column:
     )
 
 
-def collisions(entities: DataFrame, key: str) -> DataFrame:
-    """``kind, value, attempt`` of the entities whose surrogate is not that of attempt 0.
+def collisions(entities: DataFrame, key: str) -> DataFrame | None:
+    """``kind, value, fake`` of the entities whose surrogate is not that of attempt 0; None if there are none.
 
     A surrogate must not be a value of the corpus, nor that of another entity of its type.  In each round the
     smallest value keeps a surrogate that several want; the others try again with the next attempt.
-    Only those that collide go into the next round.
+    Only those that collide go into the next round.  When a round leaves more than half of its values, their format is
+    crowded, and they are placed by rank.
     """
     fake = lambda attempt: fake_value(key, F.col("kind"), F.col("value"), attempt)
     names = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind"))
     entities = entities.withColumn("space", names)
-    taken = store(entities.select("space", "kind", "value", fake(F.lit(0)).alias("fake")), "surrogates")
+    pending = store(entities.select("space", "kind", "value", fake(F.lit(0)).alias("fake")), "surrogates")
     real = entities.select("space", F.col("value").alias("fake")).distinct()
-    moved, pending, settled = None, taken, None
-    for attempt in range(1, ATTEMPTS):
+    moved, settled, before = None, None, None
+    for attempt in range(1, ATTEMPTS + 1):
         # in one space a value has one surrogate for each kind; different values must differ
         first = pending.groupBy("space", "fake").agg(F.min(F.struct("value", "kind")).alias("first"))
         first = first.join(real, ["space", "fake"], "left_anti")
         if settled is not None:
             first = first.join(settled, ["space", "fake"], "left_anti")
         won = first.select("space", "fake", F.col("first.value").alias("value"), F.col("first.kind").alias("kind"))
+        if attempt > 1:
+            won = store(won, "won")
+            moved = won if moved is None else moved.unionByName(won)
         lost = store(pending.join(won, ["space", "fake", "value", "kind"], "left_anti").select("space", "kind", "value"), "lost")
-        if moved is not None:
-            moved = store(moved.join(lost, ["kind", "value"], "left_anti").select("kind", "value", "attempt").union(lost.select("kind", "value", F.lit(attempt).alias("attempt"))), "moved")
-        elif not lost.isEmpty():
-            moved = lost.select("kind", "value", F.lit(attempt).alias("attempt"))
-        if lost.isEmpty():
-            return moved
+        n = lost.count()
+        if not n:
+            return None if moved is None else store(moved.select("kind", "value", "fake"), "moved")
         won = won.select("space", "fake")
         settled = store(won if settled is None else settled.union(won), "settled")
+        if attempt == ATTEMPTS or before is not None and 2 * n > before:
+            break
+        before = n
         pending = store(lost.select("space", "kind", "value", fake(F.lit(attempt)).alias("fake")), "surrogates")
-    raise ValueError(f"no distinct surrogates after {ATTEMPTS} attempts: too many different values of one short format")
+    ranked = placed_by_rank(lost, settled.unionByName(real), key)
+    return store(ranked if moved is None else moved.select("kind", "value", "fake").unionByName(ranked), "moved")
 
 
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
@@ -227,7 +361,7 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
 
     Found are e-mail addresses, telephone, card, account (IBAN) and social-security numbers, IPv4 addresses, passwords and keys, and names after
     a form of address.  A surrogate depends on ``key`` and the entity alone: all its mentions get the same one, in the
-    format of each, and different entities get different ones (``collisions``).  Numbers keep length, grouping and country code, a card its
+    format of each, and different entities get different ones (``collisions``); only where a format has no free ones left they get longer.  Numbers keep length, grouping and country code, a card its
     scheme and the validity of its check digit; names keep the gender that the form of address tells and the script.
 
     A null text stays null, with no entities; a text without any stays as it is.  Rows equal in doc_id and text get equal results.  An empty table gives
@@ -245,19 +379,19 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
 
     rows = docs.withColumn("__found", F.coalesce(spotted, none))
     if moved is None:
-        rows = rows.withColumn("__moved", F.lit(None).cast("map<string,int>"))
+        rows = rows.withColumn("__moved", F.lit(None).cast("map<string,string>"))
     else:
-        # documents that mention an entity with a later attempt; a group holds one document's entities
+        # documents that mention an entity whose surrogate is not its first; a group holds one document's entities
         again = mentions.join(broadcast_if_small(moved), ["kind", "value"]).distinct()
         name = F.concat_ws("\x1f", "kind", "value")
-        again = again.groupBy("doc_id", "print").agg(F.map_from_entries(F.collect_set(F.struct(name, F.col("attempt")))).alias("__moved"))
+        again = again.groupBy("doc_id", "print").agg(F.map_from_entries(F.collect_set(F.struct(name, F.col("fake")))).alias("__moved"))
         again = broadcast_if_small(store(again.withColumnsRenamed({"doc_id": "__of", "print": "__by"}), "again"))
         rows = rows.join(again, F.col("doc_id").eqNullSafe(F.col("__of")) & (print_ == F.col("__by")), "left")
 
     def surrogate(found: Column) -> Column:
         def fake(e: Column) -> Column:
-            attempt = F.coalesce(F.get(F.map_values(F.map_filter("__moved", lambda k, _: k == F.concat_ws("\x1f", e["kind"], e["value"]))), 0), F.lit(0))
-            return fake_value(key, e["kind"], e["value"], attempt)
+            other = F.get(F.map_values(F.map_filter("__moved", lambda k, _: k == F.concat_ws("\x1f", e["kind"], e["value"]))), 0)
+            return F.coalesce(other, fake_value(key, e["kind"], e["value"], F.lit(0)))
 
         return dressed(found, F.transform(parts_of(found), fake))
 

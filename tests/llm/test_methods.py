@@ -307,6 +307,39 @@ def test_surrogates_of_a_crowded_format_stay_distinct(spark):
     assert len(set(flat)) == len(values) and not set(flat) & set(values)
 
 
+def test_surrogates_of_a_full_format_are_placed_by_rank(spark):
+    # one letter has 26 surrogates, but a to f, as hexadecimal, only 6; two digits have 100; a secret of marks has none but itself
+    texts = [f"{c}@mail.com" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"{i:02}@post.org" for i in range(100)] + ["password=------"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = {r.doc_id: r for r in replace_personal_data(docs, "k").collect()}
+    fakes = [out[i].text for i in range(len(texts))]
+    assert all(out[i].n_entities == 1 for i in out) and len(set(fakes)) == len(texts) and not set(fakes) & set(texts)
+    assert all(re.fullmatch(r"[a-z]@[a-z]{4}\.example\.com", f) for f in fakes[6:26])
+    assert all(re.fullmatch(r"[a-f]\d?@[a-z]{4}\.example\.com", f) for f in fakes[:6])
+    assert all(re.fullmatch(r"\d\d@[a-z]{4}\.example\.org", f) for f in fakes[26:-1]) and re.fullmatch(r"password=------\d", fakes[-1])
+
+
+def test_crowded_numbers_get_longer(spark):
+    # 8,000 surrogates at most for country 100 and four digits
+    texts = [f"+100 {i:04}" for i in range(10000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    fakes = [r.text for r in replace_personal_data(docs, "k").collect()]
+    assert len(set(fakes)) == len(texts) and not set(fakes) & set(texts) and all(re.fullmatch(r"\+100 [2-9]\d{3,5}", f) for f in fakes)
+
+
+def test_secrets_and_numbers_in_other_dress(spark):
+    texts = [
+        "client_secret=Zk4mPq81xx", "DB_PASSWORD=hunterhunter", "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI", 'auth_token: "q8w7e6r5"', "secretKey = 'abcdefgh'", "passwd=verylongword",
+        "from +49 30 123456 10.20.30.40 on", "a step of +10045 and +12345", "secretary: Margaret, tokenizer: WordPiece",
+    ]
+    out = [r for r in sorted(replace_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "k").collect())]
+    for r, t in zip(out[:6], texts[:6], strict=True):
+        name, value = re.fullmatch(r"(\w+\W+)(\w+)['\"]?", t).groups()
+        assert r.kinds == ["secret"] and r.text.startswith(name) and value not in r.text and len(r.text) == len(t)
+    assert out[6].kinds == ["phone", "ip"] and re.fullmatch(r"from \+49 \d\d \d{6} \d+\.\d+\.\d+\.\d+ on", out[6].text)
+    assert [r.text for r in out[7:]] == texts[7:]
+
+
 # op9
 
 
