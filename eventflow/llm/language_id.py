@@ -14,7 +14,7 @@ from .common import quoted, without
 # Bounds of the training text: characters of each language, and of each document in it.
 TRAIN_CHARS = 20_000
 DOC_CHARS = 2_000
-# Letters of the alphabet, most frequent first; the rest count as one letter each.
+# Most letters of a language whose parsing table has a column for each; that of more letters is sparse.
 LETTERS = 64
 # Documents are parsed in pieces of so many characters, all pieces of a batch side by side.
 PIECE = 512
@@ -24,13 +24,8 @@ BLANK, OTHER = 0, 1
 OUTPUT = ("lang_pred", "score")
 
 
-def suffix_automaton(text: list[int], letters: int) -> np.ndarray:
-    """Parsing table of the text's suffix automaton: for a state and a letter, twice the next state, plus 1 if a phrase begins.
-
-    The automaton follows exactly the substrings of the text.  Where a state has no way on for a letter, the next phrase
-    begins with that letter, so each entry has the step from the root in it.  The last state is the one before
-    any phrase, and after a letter that the text has nowhere, which is a phrase of its own.
-    """
+def _ways(text: list[int]) -> list[dict[int, int]]:
+    """The suffix automaton of the text: the next state by letter for each state, the root first."""
     ways: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -56,6 +51,17 @@ def suffix_automaton(text: list[int], letters: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
+    return ways
+
+
+def suffix_automaton(text: list[int], letters: int) -> np.ndarray:
+    """Parsing table of the text's suffix automaton: for a state and a letter, twice the next state, plus 1 if a phrase begins.
+
+    The automaton follows exactly the substrings of the text.  Where a state has no way on for a letter, the next phrase
+    begins with that letter, so each entry has the step from the root in it.  The last state is the one before
+    any phrase, and after a letter that the text has nowhere, which is a phrase of its own.
+    """
+    ways = _ways(text)
     table = np.full((len(ways) + 1, letters), 2 * len(ways) + 1, np.int32)
     for c, to in ways[0].items():
         table[:, c] = 2 * to + 1
@@ -65,37 +71,61 @@ def suffix_automaton(text: list[int], letters: int) -> np.ndarray:
     return table
 
 
+class Parser:
+    """Parsing table over the letters of one language's text: dense if they are few, else the automaton's ways by sorted keys."""
+
+    def __init__(self, coded: np.ndarray, codes: int):
+        seen = np.unique(coded)
+        self.letters = len(seen) + 1
+        # column 0 is for letters that the text has nowhere
+        self.column = np.zeros(codes, np.min_scalar_type(self.letters))
+        self.column[seen] = np.arange(1, self.letters)
+        text = self.column[coded].tolist()
+        self.dense = self.letters <= LETTERS
+        if self.dense:
+            table = suffix_automaton(text, self.letters)
+            self.start, self.steps = len(table) - 1, table.reshape(-1)
+            return
+        ways = _ways(text)
+        self.start = len(ways)
+        found = sorted((state * self.letters + c, 2 * to) for state, out in enumerate(ways) for c, to in out.items())
+        self.keys, self.steps = np.array([k for k, _ in found], np.int64), np.array([v for _, v in found], np.int32)
+        self.first = np.full(self.letters, 2 * self.start + 1, np.int32)
+        for c, to in ways[0].items():
+            self.first[c] = 2 * to + 1
+
+    def step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """As an entry of ``suffix_automaton``, for each state and column."""
+        at = state * self.letters + column
+        if self.dense:
+            return self.steps[at]
+        i = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys[i] == at, self.steps[i], self.first[column])
+
+
 class Model:
     """The parsing tables of all languages over one alphabet; its size is bounded by the training bounds."""
 
-    def __init__(self, languages: list[str], code: np.ndarray, tables: list[np.ndarray], bits: np.ndarray):
+    def __init__(self, languages: list[str], code: np.ndarray, tables: list[Parser], bits: np.ndarray):
         self.languages, self.code, self.tables, self.bits = languages, code, tables, bits
 
     @classmethod
     def of(cls, texts: dict[str, str]) -> Model:
         languages = sorted(texts)
-        counts: dict[str, int] = {}
-        for text in texts.values():
-            for c in plain(text):
-                counts[c] = counts.get(c, 0) + 1
-        letters = sorted((c for c in counts if c.isalpha()), key=lambda c: (-counts[c], c))[: LETTERS - 2]
-        code = np.full(0x3000, OTHER, np.uint8)
-        for c in range(0x3000):
-            if not chr(c).isalpha():
-                code[c] = BLANK
+        letters = sorted({c for text in texts.values() for c in plain(text) if c.isalpha()})
+        code = np.full(0x110000, OTHER, np.min_scalar_type(len(letters) + 2))
+        code[[i for i in range(len(code)) if not chr(i).isalpha()]] = BLANK
         for i, c in enumerate(letters):
-            if ord(c) < len(code):
-                code[ord(c)] = i + 2
+            code[ord(c)] = i + 2
         model = cls(languages, code, [], np.zeros(0))
         coded = [model.codes(texts[x]) for x in languages]
-        model.tables = [suffix_automaton(c.tolist(), LETTERS) for c in coded]
+        model.tables = [Parser(c, len(letters) + 2) for c in coded]
         # bits to name a place in the training text: a language with more of it has longer phrases, but dearer ones
         model.bits = np.log2([len(c) + 2 for c in coded])
         return model
 
     def codes(self, text: str) -> np.ndarray:
-        points = np.frombuffer(plain(text).encode("utf-32-le", "surrogatepass"), np.uint32)
-        out = np.where(points < len(self.code), self.code[np.minimum(points, len(self.code) - 1)], np.uint8(OTHER))
+        out = self.code[np.frombuffer(plain(text).encode("utf-32-le", "surrogatepass"), np.uint32)]
         # runs of what is no letter are one blank
         return out[np.append(True, (out[1:] != BLANK) | (out[:-1] != BLANK))[: len(out)]]
 
@@ -108,27 +138,52 @@ class Model:
             return out
         cut = np.concatenate([np.minimum(PIECE, len(c) - PIECE * np.arange(k)) for c, k in zip(coded, n, strict=True)])
         order = np.argsort(-cut, kind="stable")  # longest first: what still runs is always the front
-        lanes = np.zeros((PIECE, len(owner)), np.uint8)
+        lanes = np.zeros((PIECE, len(owner)), self.code.dtype)
         at = 0
         for c, k in zip(coded, n, strict=True):
-            padded = np.zeros(k * PIECE, np.uint8)
+            padded = np.zeros(k * PIECE, self.code.dtype)
             padded[: len(c)] = c
             lanes[:, at : at + k] = padded.reshape(k, PIECE).T
             at += k
-        lanes = lanes[:, order]
-        running = np.searchsorted(-cut[order], -np.arange(PIECE), side="left")
-        for x, table in enumerate(self.tables):
-            flat = table.reshape(-1)
-            state = np.full(len(owner), len(table) - 1, np.int64)
-            count = np.zeros(len(owner), np.int32)
+        lanes, cut, owner = lanes[:, order], cut[order], owner[order]
+        running = np.searchsorted(-cut, -np.arange(PIECE), side="left")
+        # the lanes of the pieces before and after, or -1
+        lane = np.empty_like(order)
+        lane[order] = np.arange(len(order))
+        before, after = np.full(len(order), -1), np.full(len(order), -1)
+        same = np.flatnonzero(owner[lane[1:]] == owner[lane[:-1]])
+        before[lane[same + 1]], after[lane[same]] = lane[same], lane[same + 1]
+        for x, parser in enumerate(self.tables):
+            columns = parser.column[lanes]
+            steps = np.zeros(lanes.shape, np.int32)
+            state = np.full(len(owner), parser.start, np.int64)
             for i in range(int(cut.max())):
                 m = running[i]
-                step = flat[state[:m] * LETTERS + lanes[i, :m]]
-                count[:m] += step & 1
-                state[:m] = step >> 1
-            out[:, x] = np.bincount(owner[order], weights=count, minlength=len(coded))
+                steps[i, :m] = parser.step(state[:m], columns[i, :m])
+                state[:m] = steps[i, :m] >> 1
+            self._joined(parser, columns, steps, cut, before, after)
+            out[:, x] = np.bincount(owner, weights=(steps & 1).sum(axis=0), minlength=len(coded))
         return out
 
+    @staticmethod
+    def _joined(parser: Parser, columns: np.ndarray, steps: np.ndarray, cut: np.ndarray, before: np.ndarray, after: np.ndarray) -> None:
+        """Parse each piece again from where the one before it ends, as far as that changes its states; then ``steps`` are those of whole texts."""
+        again = np.flatnonzero(before >= 0)
+        while len(again):
+            live, state, changed = again, (steps[PIECE - 1, before[again]] >> 1).astype(np.int64), again[:0]
+            for i in range(PIECE):
+                new = parser.step(state, columns[i, live])
+                differs = (new >> 1) != (steps[i, live] >> 1)
+                steps[i, live] = new
+                if i == PIECE - 1:
+                    changed = live[differs]
+                on = differs & (cut[live] > i + 1)
+                live, state = live[on], (new[on] >> 1).astype(np.int64)
+                if not len(live):
+                    break
+            again = after[changed]
+            again = again[again >= 0]
+
 
 def plain(text: str) -> str:
     return text.lower()

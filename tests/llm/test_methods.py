@@ -16,7 +16,7 @@ from eventflow.llm.decontaminate import leaks
 from eventflow.llm.exact_dedup import QuotientFilter, exact_dedup, merged
 from eventflow.llm.graph import components
 from eventflow.llm.jaccard_join import similar_documents
-from eventflow.llm.language_id import Model, suffix_automaton
+from eventflow.llm.language_id import Model, identify, suffix_automaton
 from eventflow.llm.pii import replace_personal_data
 from eventflow.llm.sharding import even, min_cost_flow, reshard
 
@@ -403,6 +403,34 @@ def test_phrases_are_greedy_longest_matches():
         assert got == want
 
 
+@pytest.mark.parametrize("letters", ["abc", "".join(chr(0x4E00 + i) for i in range(300))])
+def test_phrases_go_over_piece_edges(letters):
+    rng = random.Random(6)
+    draw = lambda n: "".join(rng.choice(letters[:3]) if rng.random() < 0.7 else rng.choice(letters) for _ in range(n))
+    text = draw(3000)
+    model = Model.of({"a": text, "b": draw(40)})
+    queries = [draw(5), text[100:2900], draw(2000), "z" * 1300, text[:512] + text[100:1700]]
+    got = model.phrases([model.codes(q) for q in queries])
+    for q, counts in zip(queries, got, strict=True):
+        want, at = 0, 0
+        while at < len(q):
+            n = 1
+            while at + n < len(q) and q[at : at + n + 1] in text:
+                n += 1
+            want, at = want + 1, at + n
+        assert counts[0] == want
+
+
+def test_languages_of_large_alphabets(spark):
+    rng = random.Random(7)
+    script = {"zh": range(0x4E00, 0x4F00), "ja": range(0x3041, 0x3090), "ko": range(0xAC00, 0xAD00), "en": range(97, 123), "el": range(0x3B1, 0x3C9)}
+    draw = lambda lang: "".join(chr(rng.choice(script[lang])) for _ in range(400))
+    train = [(i, draw(lang), lang) for i, lang in enumerate(list(script) * 20)]
+    docs = [(i, draw(lang)) for i, lang in enumerate(script)] + [(5, "😀🎉😀"), (6, "、。！？")]
+    out = identify(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(train, "doc_id bigint, text string, lang string"))
+    assert [r.lang_pred for r in sorted(out.collect())] == [*script, "und", "und"]
+
+
 def test_held_out_languages(spark, sf):
     rows = Q.QUERIES["op10_language_id"](spark, sf).collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
