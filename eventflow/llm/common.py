@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -13,22 +14,35 @@ from pyspark.sql import types as T
 
 from eventflow.session import scratch_dir
 
+T_ = TypeVar("T_")
+
 # Fixed value: the words of the contracts, as a pattern of Java and of Python.
 WORD = r"[^\x20\x09-\x0D]+"
 # Most rows of a side that is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
 
 
+def scratch(spark: SparkSession, name: str, make: Callable[[str], T_]) -> T_:
+    """What ``make`` returns for a new shared folder that it writes to; the folder goes when the driver's JVM ends."""
+    path = scratch_dir(spark, f"llm-{name}")
+    made = make(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return made
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back, which cuts its lineage.
 
     The folder goes when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+
+    def write(path: str) -> str:
+        df.write.option("compression", "zstd").parquet(path)
+        return path
+
+    path = scratch(spark, name, write)
     return spark.read.schema(df.schema).parquet(path)
 
 

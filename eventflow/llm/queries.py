@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import ORACLES, QUERIES, query, table
+from .common import scratch
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .html_text import extract
@@ -15,7 +16,7 @@ from .licenses import scan
 from .mixing import mix
 from .pii import replace_personal_data
 from .quality import classify
-from .sharding import reshard
+from .sharding import reshard, rewritten
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -48,8 +49,9 @@ def present_shard() -> Column:
 
 @query("op7_sharding")
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    placed = reshard(docs, present_shard(), OLD_SHARDS, SHARDS, keep=["doc_id"])
+    docs = table(spark, sf_dir, "documents").withColumn("old_shard", present_shard())
+    assigned = reshard(docs, F.col("old_shard"), OLD_SHARDS, SHARDS)
+    placed = scratch(spark, "shards", lambda path: rewritten(assigned, path))
     return placed.select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "moved"
     )

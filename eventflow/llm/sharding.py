@@ -152,14 +152,35 @@ def _snapped(laid: DataFrame, segments: list[list[int]], whole: float) -> list[t
     return [(to.get(a, a), to.get(b, b)) for _, _, a, b in segments]
 
 
-def rewrite(assigned: DataFrame, path: str, mode: str = "overwrite") -> None:
+def rewrite(assigned: DataFrame, path: str, mode: str = "overwrite") -> list[int]:
     """Write the shards that gain or lose rows, one folder each, rows by slot; the other shards' files stay as they are.
 
-    ``assigned`` is the result of ``reshard`` with the old shard as a column ``old_shard``.
+    ``assigned`` is the result of ``reshard`` with the old shard as a column ``old_shard``; it must not be read from ``path`` itself.  The
+    folders of shards that lose all their rows are removed after the write.  The result is the list of the shards written or removed.
     """
     changed = assigned.filter("moved")
+    # as many rows as shards
     touched = changed.select("shard").union(changed.select(F.col("old_shard").alias("shard"))).distinct()
-    rows = assigned.join(F.broadcast(touched), "shard", "left_semi")
+    touched = sorted(r["shard"] for r in touched.collect())
+    if not touched:
+        return []
+    rows = assigned.filter(F.col("shard").isin(touched))
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode(mode).option(
         "partitionOverwriteMode", "dynamic"
     ).parquet(path)
+    spark = assigned.sparkSession
+    filled = {r["shard"] for r in rows.select("shard").distinct().collect()}
+    for shard in touched:
+        if shard not in filled:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return touched
+
+
+def rewritten(assigned: DataFrame, path: str) -> DataFrame:
+    """``assigned`` as it is after ``rewrite`` to ``path``, a folder without the old layout: the rows of changed shards are read back from there."""
+    touched = rewrite(assigned, path)
+    if not touched:
+        return assigned
+    same = assigned.filter(~F.col("shard").isin(touched))
+    return assigned.sparkSession.read.schema(assigned.schema).parquet(path).select(*quoted(assigned.columns)).unionByName(same)
