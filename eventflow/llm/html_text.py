@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -118,17 +118,37 @@ def features(kind: int, name: str, attrs: str) -> list[str]:
     return [f"{name}.{w}" for w in marks(attrs)] or [name]
 
 
+def wrapping(stream: list[tuple[int, str, str]], ends: dict[int, int]) -> Callable[[int], bool]:
+    """Whether the element that begins at a token has the page's text in it, whatever it is called.
+
+    That is, the largest ``article`` or ``main`` element, or the one inside it with most of its words; on a page without these, most of the words.
+    """
+    words = [0]
+    for kind, _, rest in stream:
+        words.append(words[-1] + (len(rest.split()) if kind == TEXT else 0))
+    inside = lambda i: words[ends[i]] - words[i]
+    marked = sorted(i for i in ends if stream[i][1] in MAIN)
+    if not marked:
+        return lambda i: 2 * inside(i) > words[-1]
+    target = max(marked, key=lambda i: (inside(i), -i))
+    for i in marked:
+        if target < i and ends[i] < ends[target] and 2 * inside(i) > inside(target):
+            target = i
+    return lambda i: i < target and ends[target] < ends[i]
+
+
 def pruned(page: str) -> list[tuple[int, str, str]]:
-    """The page's tokens without the elements around the main text."""
+    """The page's tokens without the elements around the main text; an element with that text in it stays, for the scan to decide."""
     stream = tokens(page)
     ends = partners(stream)
+    wraps = wrapping(stream, ends)
     out, i, mains = [], 0, []
     while i < len(stream):
         kind, name, attrs = stream[i]
         if kind == OPEN:
             while mains and mains[-1] < i:
                 mains.pop()
-            if i in ends and around(name, attrs, bool(mains)):
+            if i in ends and around(name, attrs, bool(mains)) and not wraps(i):
                 i = ends[i] + 1
                 out.append((OPEN, "hr", ""))  # a break of the text
                 continue
@@ -150,7 +170,7 @@ class Weights:
 
     def tag(self, kind: int, name: str, attrs: str) -> float:
         odds = [self.inside[f] for f in features(kind, name, attrs) if f in self.inside]
-        inside = min(odds) if odds else 0.8
+        inside = min(odds) if odds else 0.0 if kind == OPEN and around(name, attrs, True) else 0.8
         return -0.05 - 4.0 * (1 - inside) ** 2
 
 
@@ -240,7 +260,7 @@ def extract(pages: DataFrame, inside: dict[str, float] | None = None) -> DataFra
     """The columns of ``pages`` but ``html``, and ``text`` and ``n_chars`` of its main text.
 
     Comments, scripts, styles and other raw elements go, and with them the elements that by name, class, id or role stand around
-    the text: menus, footers, page headers, side bars, notices, adverts, forms and reader comments.  Over what is left one linear scan
+    the text: menus, footers, page headers, side bars, notices, adverts, forms and reader comments; not one that wraps the article or, on a page without, most of its words.  Over what is left one linear scan
     finds the contiguous run of tokens with the largest score; its weights (``inside``) are learnt from ``pages`` if not given.  If the run
     ends within an ``article`` or ``main`` element, it takes all of that.
 
