@@ -44,12 +44,39 @@ def known_digests(spark: SparkSession, licenses: Sequence[tuple[str, str]]) -> D
     return rows.select(F.sha2(whole(canonical_lines("text")), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
 
 
+def full_lines(lines: Column) -> Column:
+    """The lines that say something, as ``(line, text, words)``: the number, and how many words."""
+    kept = F.filter(F.transform(lines, lambda x, i: F.struct(i.cast("int").alias("line"), x.alias("text"))), lambda x: x["text"] != "")
+    return F.transform(kept, lambda x: F.struct(x["line"].alias("line"), x["text"].alias("text"), F.size(F.split(x["text"], " ")).alias("words")))
+
+
+def runs(lines: Column, lengths: Column) -> Column:
+    """``(line, text)`` of the runs of two lines or more that begin with two words of a known text and have as many words as it.
+
+    ``lines`` are those of ``full_lines``; ``lengths`` maps the first two words of the known texts to their numbers of words.
+    """
+    heads, text = F.map_keys(lengths), lambda i: F.get(lines, i)["text"]
+    # a line of one word has the second one from the next line
+    head = lambda x, i: F.when(x["words"] > 1, F.substring_index(x["text"], " ", 2)).otherwise(F.concat_ws(" ", x["text"], F.substring_index(text(i + 1), " ", 1)))
+    begun = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), head(x, i).alias("head"))), lambda x: F.array_contains(heads, x["head"]))
+    step = lambda s, x: F.when(s["left"] > 0, F.struct((s["left"] - x["words"]).alias("left"), (s["used"] + 1).alias("used"))).otherwise(s)
+
+    def run(i: Column, n: Column) -> Column:
+        # a run of n words has n lines at most
+        end = F.aggregate(F.slice(lines, i + 1, n), F.struct(n.alias("left"), F.lit(0).alias("used")), step)
+        return F.struct(i.alias("i"), end["left"].alias("left"), end["used"].alias("used"))
+
+    hits = F.flatten(F.transform(begun, lambda x: F.transform(F.element_at(lengths, x["head"]), lambda n: run(x["i"], n))))
+    hits = F.filter(hits, lambda h: (h["left"] == 0) & (h["used"] > 1))
+    return F.transform(hits, lambda h: F.struct(F.get(lines, h["i"])["line"].alias("line"), F.concat_ws(" ", F.slice(lines, h["i"] + 1, h["used"])["text"]).alias("text")))
+
+
 def scan(docs: DataFrame, licenses: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """One row per document: ``doc_id, text_digest, license, notices, notice_lines``.
 
     ``text_digest`` is the SHA-256 of the canonical text, ``license`` the known licence whose canonical text is the same, else null.
-    Each line is looked up too, for notices within other text: ``notices`` are their identifiers, sorted, ``notice_lines`` their line numbers
-    from 0.
+    Each line is looked up too, and each run of lines that has the first two words and the number of words of a known text, for
+    notices and texts within other text: ``notices`` are their identifiers, sorted, ``notice_lines`` the numbers of their first lines from 0.
 
     The canonical form lower-cases, drops lines that state a copyright, unifies spellings, and takes punctuation and white
     space for one space.  A null text is as empty; a text that is empty in canonical form matches nothing.  Rows equal in doc_id and text get
@@ -58,11 +85,18 @@ def scan(docs: DataFrame, licenses: Sequence[tuple[str, str]] | None = None) ->
     ``licenses`` are (identifier, text) pairs, handed over as a list, so that the table of digests may be broadcast.
     """
     spark = docs.sparkSession
-    known = F.broadcast(store(known_digests(spark, texts() if licenses is None else licenses), "licenses"))
-    base = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"), canonical_lines("text").alias("lines"))
+    licenses = texts() if licenses is None else licenses
+    known = F.broadcast(store(known_digests(spark, licenses), "licenses"))
+    heads = spark.createDataFrame(list(licenses), "license string, text string").select(F.split(whole(canonical_lines("text")), " ").alias("w")).filter("size(w) > 1")
+    heads = heads.groupBy(F.concat_ws(" ", F.slice("w", 1, 2)).alias("head")).agg(F.sort_array(F.collect_set(F.size("w"))).alias("n"))
+    # one row, a few words for each known text
+    heads = store(heads.agg(F.map_from_entries(F.collect_list(F.struct("head", "n"))).alias("lengths")), "heads")
+    base = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"), canonical_lines("text").alias("lines")).crossJoin(F.broadcast(heads))
+    base = base.withColumn("full", full_lines(F.col("lines")))
+    base = base.withColumn("runs", runs(F.col("full"), F.col("lengths")))
     unit = lambda line, text: F.struct(line.cast("int").alias("line"), F.sha2(text, 256).alias("digest"), (text != "").alias("some"))
     # the whole text is line -1
-    units = F.concat(F.array(unit(F.lit(-1), whole(F.col("lines")))), F.transform("lines", lambda x, i: unit(i, x)))
+    units = F.concat(F.array(unit(F.lit(-1), whole(F.col("lines")))), F.transform("lines", lambda x, i: unit(i, x)), F.transform("runs", lambda r: unit(r["line"], r["text"])))
     rows = base.select("doc_id", "print", F.explode(units).alias("u")).select("doc_id", "print", "u.*")
     rows = rows.filter("some OR line = -1").drop("some").join(known, "digest", "left")
     # a row for each document, and its hits

@@ -99,6 +99,20 @@ def test_licences_in_other_dress(spark):
     assert out[6].notices == ["MIT"] and out[6].notice_lines == [1]
 
 
+def test_licence_texts_inside_other_text(spark):
+    import textwrap
+
+    wrap = lambda text, start: "\n".join(start + x for t in text.split("\n") for x in textwrap.wrap(t, 76))
+    mit, bsd = license_texts.MIT, license_texts.BSD_START + license_texts.BSD_END
+    docs = [
+        "int a;\n/*\n" + wrap(license_texts.APACHE, " * ") + "\n */\nint b;", "# A package\n\n" + wrap(mit, "") + "\n\nMore words.",
+        "x\n" + wrap(bsd, "# ") + "\n\n" + wrap(license_texts.ISC, "# ") + "\ny", "x\n" + wrap(mit, "").replace("free of charge", "for a charge") + "\ny",
+    ]
+    out = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")).collect()}
+    assert [out[i].notices for i in range(4)] == [["Apache-2.0"], ["MIT"], ["BSD-2-Clause", "ISC"], []]
+    assert out[0].notice_lines == [2] and out[1].notice_lines == [2] and out[2].notice_lines[0] == 1 and all(r.license is None for r in out.values())
+
+
 def test_licence_lines_of_the_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     start = re.compile("Licensed under|This work is licensed|Released under|All rights reserved")
@@ -234,6 +248,18 @@ def test_page_of_many_parts():
     assert H.main_text(open_, weights) == "yes one\ntwo"
 
 
+@pytest.mark.parametrize("tag", ['form id="aspnetForm"', 'div class="content with-sidebar"', "div class='layout has-sidebar'", "div class=page-with-banner"])
+def test_wrapped_pages_keep_their_text(tag):
+    weights, close = H.Weights({}), f"</{tag.split()[0]}>"
+    body = "<h1>Title</h1><p>One two three four five</p><p>six seven eight nine ten</p>"
+    want = "Title\nOne two three four five\nsix seven eight nine ten"
+    side = "<div class=sidebar><article>Card no</article></div><div class=comments><article>says no</article></div><footer>Foot no</footer>"
+    for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f"<main><{tag}><article>{body}</article>{close}</main>"):
+        assert H.main_text(f"<html><body><{tag}><nav>Menu no</nav>{inner}{side}{close}</body></html>", weights) == want
+    # no article or main at all: most of the words
+    assert H.main_text(f"<html><body><{tag}><nav>Menu no</nav><div>{body}</div>{close}<footer>Foot no</footer></body></html>", weights) == want
+
+
 # op7
 
 
