@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import ORACLES, QUERIES, query, table
-from .common import scratch
+from .common import scratch, store
+from .conversation_repair import damaged, digests, plans, repaired
 from .decontaminate import leaks
 from .exact_dedup import exact_dedup
 from .html_text import extract
@@ -100,3 +101,97 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_licenses")
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+# Cheapest repairs by row after row: the least (cost, edits) of each state, rows put in before each row and at the end.
+OP11_SQL = r"""
+WITH RECURSIVE given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') AS key
+    FROM conversations
+), bits AS (
+    -- crc32 over the bytes of the key, bit by bit, for the distinct keys
+    SELECT key, 4294967295::bigint AS crc, 0 AS pos FROM (SELECT DISTINCT key FROM given)
+    UNION ALL
+    SELECT key, list_reduce(list_prepend(xor(crc, ord(substr(key, pos + 1, 1))::bigint), range(8)),
+                            lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), pos + 1
+    FROM bits WHERE pos < length(key)
+), kinds AS (
+    SELECT key, xor(crc, 4294967295) % 20 AS kind FROM bits WHERE pos = length(key)
+), damage AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS time
+    FROM given JOIN kinds USING (key) WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+                                 sha256(strlen(role) || ':' || role || text)) AS pos
+    FROM damage
+), seen AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+           left(role, 1) AS initial, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS next
+    FROM placed
+), faults AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again THEN 'd'
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '-' END AS fault
+    FROM seen
+), wanted(state, to_state, role) AS (
+    VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')
+), inserts(state, to_state, cost, edits, made) AS (
+    SELECT state, state, 0, '', '' FROM wanted
+    UNION ALL SELECT state, to_state, 3, 'I', chr(10) || role || ':' FROM wanted
+    UNION ALL SELECT a.state, b.to_state, 6, 'II', chr(10) || a.role || ':' || chr(10) || b.role || ':'
+    FROM wanted a JOIN wanted b ON b.state = a.to_state
+), legal(state, initial, to_state) AS (
+    VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), moves AS (
+    SELECT conv_id, pos, s.state, s.state AS to_state, 4 AS cost, 'D' AS edits, '' AS made FROM faults, (VALUES (0), (1), (2), (3)) s(state)
+    UNION ALL SELECT conv_id, pos, l.state, l.to_state, CASE WHEN fault = 't' THEN 3 ELSE 0 END, 'K', chr(10) || role || ':' || text
+    FROM faults JOIN legal l USING (initial) WHERE fault IN ('t', '-')
+    UNION ALL SELECT conv_id, pos, w.state, w.to_state, CASE WHEN fault = 't' THEN 6 ELSE 3 END, 'R', chr(10) || w.role || ':' || text
+    FROM faults, wanted w WHERE fault IN ('t', '-')
+), best AS (
+    SELECT DISTINCT conv_id, 0::bigint AS pos, 0 AS state, 0 AS cost, '' AS edits, '' AS made FROM conversations
+    UNION ALL
+    SELECT conv_id, pos, state, (least_path).cost, (least_path).edits, (least_path).made FROM (
+        SELECT b.conv_id, m.pos, m.to_state AS state,
+               min({cost: b.cost + i.cost + m.cost, edits: b.edits || i.edits || m.edits, made: b.made || i.made || m.made}) AS least_path
+        FROM best b JOIN inserts i ON i.state = b.state
+             JOIN moves m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.pos = b.pos + 1 AND m.state = i.to_state
+        GROUP BY ALL)
+), ended AS (
+    SELECT b.conv_id, min({cost: b.cost + i.cost, edits: b.edits || i.edits, made: b.made || i.made}) AS path
+    FROM best b JOIN inserts i ON i.state = b.state
+    WHERE i.to_state IN (0, 3) AND b.pos = (SELECT count(*) FROM faults f WHERE f.conv_id IS NOT DISTINCT FROM b.conv_id)
+    GROUP BY b.conv_id
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+           count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+           count(*) FILTER (next IS NOT NULL AND initial || next NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, path.cost::bigint AS cost, path.edits AS audit,
+       sha256(substr(path.made, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+NOTHING_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+@query("op11_conversation_repair", OP11_SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    rows = damaged(given)
+    planned = store(plans(rows), "plans")
+    sums = digests(repaired(rows, planned)).withColumnRenamed("conv_id", "of")
+    ids = given.select("conv_id").distinct()
+    joined = ids.join(planned.withColumnRenamed("conv_id", "plan_of"), F.col("conv_id").eqNullSafe(F.col("plan_of")), "left")
+    joined = joined.join(sums, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.lit(NOTHING_SHA256)).alias("repaired_sha256"),
+    )
