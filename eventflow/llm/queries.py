@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import ORACLES, QUERIES, query, table
+from .chat_format import formatted, read_back, under_loss
 from .common import scratch, store
 from .conversation_repair import damaged, digests, plans, repaired
 from .decontaminate import leaks
@@ -195,3 +196,47 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.lit(NOTHING_SHA256)).alias("repaired_sha256"),
     )
+
+
+CONTROL_CHECK = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op12_chat_format",
+    r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), sized AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+               length(regexp_replace(text, '([\[<])(\\*)(/?(s|SYS|INST|ROLE|SAYS)[\]>])', '\1\\\2\3', 'g')) AS chars,
+               length(regexp_replace(role, '([\[<])(\\*)(/?(s|SYS|INST|ROLE|SAYS)[\]>])', '\1\\\2\3', 'g')) AS role_chars
+        FROM rows
+    )
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(chars + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 ELSE 23 + role_chars END)::bigint
+               AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """,
+)
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = [(-7, 0, "user", CONTROL_CHECK), (-7, 1, "assistant", CONTROL_CHECK)]
+    done = formatted(given.unionByName(spark.createDataFrame(more, "conv_id bigint, turn bigint, role string, text string")))
+    turns = F.transform(read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = done.select(
+        "conv_id",
+        "formatted",
+        under_loss(F.col("segments")).alias("loss_text"),
+        turns.alias("turns"),
+    )
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
