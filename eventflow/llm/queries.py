@@ -16,6 +16,7 @@ from .jaccard_join import similar_documents
 from .language_id import identify
 from .licenses import scan
 from .mixing import mix
+from .periodic_runs import periodic_runs, planted
 from .pii import replace_personal_data
 from .quality import classify
 from .sharding import reshard, rewritten
@@ -240,3 +241,29 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = periodic_runs(planted(table(spark, sf_dir, "documents"))).select("doc_id", "runs", "collapsed")
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda s: F.concat(s, F.lit("\n"))), "")
+
+    def better(a: Column, b: Column) -> Column:
+        """a has the greater length over period, or the earlier start, or the shorter period."""
+        over, under = a["length"] * b["period"], b["length"] * a["period"]
+        earlier = (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["period"] < b["period"]))
+        return (over > under) | ((over == under) & earlier)
+
+    first = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(better(r, best), r).otherwise(best))
+    rows = done.withColumn("best", first)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
