@@ -1,5 +1,9 @@
 """eventflow: clean, parse, enrich and filter log and event data with Spark."""
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 from .operators.alerts import check_points, failure_alerts, failure_rate
 from .operators.dates import date_parse
 from .operators.enrich import dns, enricher, geoip, useragent
@@ -34,4 +38,7 @@ from .sources.events import parse_by_hint, promote, read_delimited, read_events,
 from .sources.paths import select_source_files, with_format_hint, with_path_metadata
 from .sources.sinks import manifest, route_errors, split_errors, write_events, write_events_stream, write_manifest
 
+# Python functions travel to the executors with their code, so those need no copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 from ..functions import net
 from ..functions import regex as rx
 from ..functions import text as tx
+from ..session import stored
 from .effect import Effect, once, operator, require, unchanged
+from .range_sweep import narrowest
 
 # Largest look-up side that is broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -24,6 +26,8 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 # Partitions that rows without a key are dealt to.
 SPREAD = 4096
 RANGE_SALTS = 16
+# Most ranges that may touch one bucket of addresses for the bucketed join; a row is compared with all of its bucket.
+BUCKET_RANGES = 64
 
 
 def fits_broadcast(lookup: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
@@ -56,7 +60,7 @@ def lookup_join(df: DataFrame, key: Column, lookup: DataFrame, broadcast: bool,
     marked = df.withColumn("_lkey", key)
     if broadcast:
         return marked.join(F.broadcast(right), F.col("_lkey") == F.col("_rkey"), "left").drop("_lkey", "_rkey")
-    right_slotted = right.withColumn("_rslot", F.lit(0))
+    right_slotted = right.withColumn("_rslot", F.lit(0)).hint("merge")
     matches = (F.col("_lkey") == F.col("_rkey")) & (F.col("_slot") == F.col("_rslot"))
     # The partition id depends on the row's task alone, so a retried task spreads alike.
     slot = 1 + F.spark_partition_id() % SPREAD
@@ -239,6 +243,34 @@ def _range_sizes(ranges: DataFrame) -> tuple[bool, bool, bool]:
     return fine, coarse, sizes["wide"] > 0
 
 
+def _sparse(ranges: DataFrame) -> bool:
+    """Whether no bucket is touched by more than BUCKET_RANGES ranges."""
+    buckets = _fine_buckets(ranges).select("_bucket").union(_coarse_buckets(ranges).select("_bucket"))
+    return buckets.groupBy("_bucket").count().where(F.col("count") > BUCKET_RANGES).isEmpty()
+
+
+def _bucketed(located: DataFrame, ranges: DataFrame, small: bool, small_wide: bool, wide: bool) -> tuple[DataFrame, tuple[str, ...]]:
+    """Join by address prefix and then by range: the input is read once, and a small look-up needs no shuffle."""
+    located = _range_join(located, _bucket_of(F.col("_ip")), _fine_buckets(ranges), "_geo_fine", small)
+    if not wide:
+        return located, ("_geo_fine",)
+    located = _range_join(located, F.left(F.col("_ip"), F.lit(4)), _coarse_buckets(ranges), "_geo_wide", small_wide)
+    return located, ("_geo_fine", "_geo_wide")
+
+
+def _swept(located: DataFrame, ranges: DataFrame, broadcast: bool | None) -> tuple[DataFrame, tuple[str, ...]]:
+    """Sweep over the distinct addresses and the ranges, then join each row by its address."""
+    unique = ranges.groupBy("_start", "_end").agg(F.min_by("_geo", F.to_json("_geo")).alias("_geo"))
+    unique = stored(unique.select(F.unhex("_start").alias("_start"), F.unhex("_end").alias("_end"), "_geo"), "ranges")
+    points = located.where(F.col("_ip").isNotNull()).select(F.unhex("_ip").alias("point")).distinct()
+    found = narrowest(points, unique.select(F.col("_start").alias("start"), F.col("_end").alias("end")))
+    side = F.broadcast(unique) if fits_broadcast(unique.withColumn("_start", F.hex("_start")).withColumn("_end", F.hex("_end"))) else unique
+    known = found.join(side, (F.col("start") == F.col("_start")) & (F.col("end") == F.col("_end")))
+    resolved = stored(known.select(F.lower(F.hex("point")).alias("_key"), F.col("_geo").alias("_row")), "resolved")
+    small = fits_broadcast(resolved) if broadcast is None else broadcast
+    return lookup_join(located, F.col("_ip"), resolved, small, "_geo_fine"), ("_geo_fine",)
+
+
 def _range_join(df: DataFrame, bucket: Column, ranges: DataFrame, out: str, broadcast: bool) -> DataFrame:
     right = _disjoint(ranges).select(
         F.col("_bucket").alias("_rb"), F.col("_start").alias("_rs"), F.col("_end").alias("_re"), F.col("_geo").alias(out)
@@ -276,6 +308,9 @@ def geoip(
     The table has ``start_ip`` and ``end_ip`` (inclusive, IPv4 or IPv6 text) and any of the
     record columns.  ``source_field`` may be a dotted path.  An invalid or unknown address
     leaves the row unchanged.
+
+    A small table without dense stretches is broadcast by address prefix.  Any other is swept: the distinct addresses
+    and the ranges in order, then a join by address.  A stream, whose rows cannot be sorted, always takes the prefixes.
     """
     source = tx.nested(df, source_field)
     if source is None or not isinstance(df.select(source.alias("s")).schema["s"].dataType, T.StringType):
@@ -293,19 +328,21 @@ def geoip(
     ranges = once(table.select("start_ip", "end_ip", geo.alias("_geo")), "_start", net.ip_hex(F.col("start_ip")))
     ranges = once(ranges, "_end", net.ip_hex(F.col("end_ip"))).where("_start <= _end").drop("start_ip", "end_ip")
     ranges = _with_bucket_numbers(ranges)
-    small, small_wide, wide = (broadcast, broadcast, True) if broadcast is not None else _range_sizes(ranges)
     located = once(df, "_ip", net.ip_hex(source))
-    located = _range_join(located, _bucket_of(F.col("_ip")), _fine_buckets(ranges), "_geo_fine", small)
-    found = F.col("_geo_fine")
-    if wide:
-        located = _range_join(located, F.left(F.col("_ip"), F.lit(4)), _coarse_buckets(ranges), "_geo_wide", small_wide)
-        found = F.coalesce(found, F.col("_geo_wide"))
+    if df.isStreaming:
+        small, small_wide, wide = (broadcast, broadcast, True) if broadcast is not None else _range_sizes(ranges)
+        located, parts = _bucketed(located, ranges, small, small_wide, wide)
+    else:
+        small, small_wide, wide = (True, True, True) if broadcast else (False, False, True) if broadcast is False else _range_sizes(ranges)
+        if small and small_wide and _sparse(ranges):
+            located, parts = _bucketed(located, ranges, True, True, wide)
+        else:
+            located, parts = _swept(located, ranges, broadcast)
+    found = F.coalesce(*[F.col(p) for p in parts])
     value = found
     if tx.has(df, target_field) and tx.type_of(df, target_field) == tx.type_of(located, "_geo_fine"):
         value = F.coalesce(found, tx.field(target_field))
-    return Effect(
-        located, sets={target_field: value}, applied=found.isNotNull(), temps=("_ip", "_geo_fine", "_geo_wide")
-    )
+    return Effect(located, sets={target_field: value}, applied=found.isNotNull(), temps=("_ip", *parts))
 
 
 # A small rule list of our own; pass a fuller one as ``rules``.  Rules of a kind are tried in order.

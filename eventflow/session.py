@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library should run with.  Skew handling, partition
 # coalescing and runtime broadcast conversion are left to adaptive execution.
@@ -43,3 +43,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to a new shared folder and read back, which cuts its lineage; the folder goes with the driver's JVM."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

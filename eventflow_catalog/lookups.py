@@ -120,6 +120,29 @@ def _(spark, sf):
     return _nested(spark, sf, False)
 
 
+# A range of one /16 for each order, up to 5,000 addresses wide, and all of it; they nest and overlap.
+DENSE = """WITH ranges AS (SELECT DISTINCT a, least(a + w, 65535) AS b FROM
+        (SELECT (o_orderkey * 7) % 40000 AS a, (o_custkey * 37) % 5000 AS w FROM orders UNION ALL SELECT 0, 65535)),
+    asked AS (SELECT event_id, (event_id * 7919) % 65536 AS x FROM events),
+    best AS (SELECT x, min({w: b - a, a: a, b: b}) AS r FROM (SELECT DISTINCT x FROM asked) JOIN ranges ON a <= x AND x <= b GROUP BY x)
+    SELECT event_id, 'r' || (r).a || '-' || (r).b AS city FROM asked LEFT JOIN best USING (x)"""
+
+
+@query("geoip_dense", DENSE)
+def _(spark, sf):
+    spans = table(spark, sf, "orders").select(F.expr("(o_orderkey * 7) % 40000").alias("a"), F.expr("(o_custkey * 37) % 5000").alias("w"))
+    spans = spans.union(spark.range(1).selectExpr("0", "65535")).selectExpr("a", "least(a + w, 65535) AS b")
+    address = "concat('10.7.', {0} div 256, '.', {0} % 256)"
+    ranges = spans.select(
+        F.expr(address.format("a")).alias("start_ip"),
+        F.expr(address.format("b")).alias("end_ip"),
+        F.expr("concat('r', a, '-', b)").alias("city_name"),
+    )
+    df = table(spark, sf, "events").selectExpr("event_id", "(event_id * 7919) % 65536 AS x")
+    df = df.select("event_id", F.expr(address.format("x")).alias("ip_address"))
+    return ef.geoip(df, fields=["city_name"], tables={"geoip": ranges}).select("event_id", "geoip.city")
+
+
 @query(
     "geoip_v6",
     """SELECT event_id, n_name AS country FROM events LEFT JOIN nation ON n_nationkey = user_id % 30""",
