@@ -110,32 +110,39 @@ def failure_alerts(
 
     Checks happen every ``check_seconds``; after an alert a dataset is silent for
     ``cooldown_seconds``.  ``last_alerts`` (key columns and ``last_second``) continues the silence
-    of an earlier run.  What is folded per dataset is one number per check that breaches, so its length depends on the
-    time span only, not on the number of rows; the details are joined to the checks that fire.
+    of an earlier run.  A breach that comes ``cooldown_seconds`` or more after the one before fires in any case, so
+    the silence is followed inside each stretch of closer breaches on its own; the length of a stretch depends on the time span
+    only, not on the number of rows.  The rates are computed once: a breach carries its numbers.
     """
     checks = check_points(rates, time_column, order_by, check_seconds, by)
     breaches = checks.where((F.col("failure_rate") >= threshold) & (F.col("recent_samples") >= minimum_samples))
     keys = [tx.field(k) for k in by]
-    listed = breaches.groupBy(*keys).agg(
-        F.array_sort(F.collect_list("check_second")).alias("breaches")
-    )
+    in_order = Window.partitionBy(*keys).orderBy("check_second")
+    before = F.lag("check_second").over(in_order)
+    starts = F.when(before.isNull() | (F.col("check_second") - before >= cooldown_seconds), F.col("check_second"))
+    stretched = breaches.withColumn("_starts", starts).withColumn("_stretch", F.max("_starts").over(in_order))
+    breach = F.struct("check_second", "recent_samples", "recent_failures", "failure_rate")
+    listed = stretched.groupBy(*keys, "_stretch").agg(F.array_sort(F.collect_list(breach)).alias("breaches"))
     if last_alerts is None:
         listed = listed.withColumn("last_second", F.lit(None).cast("bigint"))
     else:
-        listed = listed.join(last_alerts.select(*by, "last_second"), list(by), "left")
+        last = last_alerts.select(*[F.col(k).alias(f"_of_{k}") for k in by], "last_second")
+        same = [tx.field(k).eqNullSafe(F.col(f"_of_{k}")) for k in by]
+        listed = listed.join(last, same, "left")
 
     def fold(state: Column, breach: Column) -> Column:
-        due = state["last"].isNull() | (breach - state["last"] >= cooldown_seconds)
-        return F.when(due, F.struct(breach.alias("last"), F.array_append(state["alerts"], breach).alias("alerts"))).otherwise(state)
-
-    start = F.struct(F.col("last_second").alias("last"), F.array().cast("array<bigint>").alias("alerts"))
-    fired = listed.select(*keys, F.explode(F.aggregate("breaches", start, fold)["alerts"]).alias("check_second"))
-    same = [F.col(f"b.{k}").eqNullSafe(F.col(f"f.{k}")) for k in by] + [F.col("b.check_second") == F.col("f.check_second")]
-    return breaches.alias("b").join(fired.alias("f"), same, "left_semi").select(
+        due = state["last"].isNull() | (breach["check_second"] - state["last"] >= cooldown_seconds)
+        fired = F.struct(breach["check_second"].alias("last"), F.array_append(state["alerts"], breach).alias("alerts"))
+        return F.when(due, fired).otherwise(state)
+
+    none = F.slice("breaches", 1, 0)
+    start = F.struct(F.col("last_second").alias("last"), none.alias("alerts"))
+    fired = listed.select(*keys, F.explode(F.aggregate("breaches", start, fold)["alerts"]).alias("a"))
+    return fired.select(
         *keys,
-        F.timestamp_seconds("check_second").alias("alert_time"),
-        "recent_samples",
-        "recent_failures",
-        "failure_rate",
-        severity(F.col("failure_rate"), threshold).alias("severity"),
+        F.timestamp_seconds("a.check_second").alias("alert_time"),
+        "a.recent_samples",
+        "a.recent_failures",
+        "a.failure_rate",
+        severity(F.col("a.failure_rate"), threshold).alias("severity"),
     )
