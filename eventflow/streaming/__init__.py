@@ -1,6 +1,7 @@
 """Structured Streaming runs of filter chains, metrics and alerts."""
 
 from .alerts import alert_stream, finish_alerts
+from .keyed_alerts import keyed_alert_stream, keyed_alerts
 from .runner import metrics_stream, refreshing_stream, run_stream
 
-__all__ = ["alert_stream", "finish_alerts", "metrics_stream", "refreshing_stream", "run_stream"]
+__all__ = ["alert_stream", "finish_alerts", "keyed_alert_stream", "keyed_alerts", "metrics_stream", "refreshing_stream", "run_stream"]
