@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import eventflow as ef
-from eventflow.streaming import alert_stream, finish_alerts, metrics_stream, refreshing_stream, run_stream
+from eventflow.streaming import alert_stream, finish_alerts, keyed_alert_stream, metrics_stream, refreshing_stream, run_stream
 from eventflow.streaming.runner import latest_metrics
 
 from .base import EVENTS, query, table
@@ -82,21 +82,84 @@ def _(spark, sf):
     )
 
 
+# Days of a slice of the event files that arrive one after the other; two files each.
+SLICE_DAYS = 5
+DAYS = 30
+
+
+class _Arriving:
+    """Event files written slice by slice in time order, so that a stream picks them up in that order."""
+
+    def __init__(self, spark, sf):
+        self.spark, self.source = spark, ef.scratch_dir(spark, "arriving")
+        self.events = table(spark, sf, "events").withColumn("day", F.expr("datediff(ts, DATE'2024-01-01')"))
+        self.slices = DAYS // SLICE_DAYS
+
+    def _append(self, df, files):
+        extra = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
+        lines = df.repartition(files).select(F.to_json(F.struct(*COLUMNS, extra)).alias("value"))
+        lines.write.mode("append").option("compression", "gzip").text(self.source)
+
+    def write(self, first, last):
+        for i in range(first, last):
+            # the outer slices take what is before or after all days
+            low = F.col("day") >= i * SLICE_DAYS if i else F.lit(True)
+            high = F.col("day") < (i + 1) * SLICE_DAYS if i < self.slices - 1 else F.lit(True)
+            self._append(self.events.where(low & high), 2)
+
+    def tick(self):
+        """A row that only moves the time, two days after the last event."""
+        last = self.events.agg(F.max(F.struct("ts", *COLUMNS)).alias("e")).select("e.*")
+        later = last.withColumns({"ts": F.expr("ts + INTERVAL 2 DAYS"), "event_type": F.lit("tick")})
+        self._append(later, 1)
+
+    def stream(self):
+        read = ef.read_events_stream(self.spark, self.source, SCHEMA + ", at string", max_files=2)
+        return read.withColumns(
+            {
+                "tenant_id": F.expr("concat('t', user_id % 3)"),
+                "dataset_id": F.expr("concat('d', user_id % 2)"),
+                "at": F.to_timestamp("at", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+                "failed": F.col("event_type") == "error",
+            }
+        )
+
+
+# Results may come so late; checks close three checks behind the stream.
+DELAY_SECONDS = 900
+
+
 @query("stream_failure_alerts", ALERTS)
 def _(spark, sf):
     out, state, checkpoint = (ef.scratch_dir(spark, n) for n in ("alerts", "state", "checkpoint"))
-    stream = _stream(spark, sf).withColumns(
-        {"failed": F.col("event_type") == "error", "dataset_id": F.expr("concat('d', user_id % 2)")}
-    )
-    # the files are picked up in any order, with two in a batch: the delay covers the whole table
-    delay = 10**9
-    run = alert_stream(stream, "failed", "at", ("at", "event_id"), out, state, checkpoint, delay_seconds=delay)
+    arriving = _Arriving(spark, sf)
+    arriving.write(0, arriving.slices)
+    run = alert_stream(arriving.stream(), "failed", "at", ("at", "event_id"), out, state, checkpoint, delay_seconds=DELAY_SECONDS)
     run.awaitTermination()
     finish_alerts(spark, run.lastProgress["batchId"], out, state, ("at", "event_id"))
     alerts = spark.read.parquet(out).drop("batch")
     return alerts.withColumn("alert_time", F.date_format("alert_time", "yyyy-MM-dd'T'HH:mm:ss"))
 
 
+@query("stream_failure_alerts_keyed", ALERTS)
+def _(spark, sf):
+    out, checkpoint = ef.scratch_dir(spark, "alerts"), ef.scratch_dir(spark, "checkpoint")
+    arriving = _Arriving(spark, sf)
+    half = arriving.slices // 2
+    for first, last in ((0, half), (half, arriving.slices)):
+        arriving.write(first, last)
+        if last == arriving.slices:
+            arriving.tick()
+        # the second run goes on from the first one's checkpoint
+        run = keyed_alert_stream(
+            arriving.stream(), path=out, checkpoint=checkpoint, failed="failed", time_column="at", order_by=("at", "event_id"),
+            delay_seconds=DELAY_SECONDS, slices=4, heartbeat=F.col("event_type") == "tick",
+        )
+        run.awaitTermination()
+    alerts = spark.read.parquet(out)
+    return alerts.withColumn("alert_time", F.date_format("alert_time", "yyyy-MM-dd'T'HH:mm:ss"))
+
+
 @query(
     "stream_refreshed_lookups",
     "SELECT event_id, c_name AS name FROM events JOIN customer ON c_custkey = user_id WHERE event_type <> 'view'",
