@@ -32,6 +32,7 @@ from .operators.summary import (
     transformation_summary,
 )
 from .plans.chain import preview, route, run_pipeline, run_pipeline_audited
+from .plans.merged import route_once
 from .plans.spec import as_spec, default_spec, register_filter, register_parser, validate_spec
 from .session import RECOMMENDED_CONF, configure, scratch_dir
 from .sources.events import parse_by_hint, promote, read_delimited, read_events, read_events_stream, read_lines

@@ -65,7 +65,7 @@ def guarded(effect: Effect, condition: Column, keep_old: bool = True) -> Effect:
         old_type = tx.type_of(df, name)
         old = tx.field(name)
         if new_type != old_type:
-            old = old.try_cast(new_type) if keep_old and _castable(old_type, new_type) else F.lit(None)
+            old = old.try_cast(new_type) if keep_old and castable(old_type, new_type) else F.lit(None)
         sets[name] = F.when(condition, value).otherwise(old)
     drops = []
     for name in effect.drops:
@@ -119,7 +119,7 @@ def _guard_columns(inner, condition: Column, keep_old: bool):
             new_type, old_type = tx.type_of(after, name), tx.type_of(after, old_name)
             old = tx.field(old_name)
             if new_type != old_type:
-                old = old.try_cast(new_type) if keep_old and _castable(old_type, new_type) else F.lit(None)
+                old = old.try_cast(new_type) if keep_old and castable(old_type, new_type) else F.lit(None)
             columns.append(F.when(guard, new).otherwise(old).alias(name))
         if keep_old:
             gone = [(o, n) for o, n in saved.items() if n not in after.columns]
@@ -140,7 +140,7 @@ def _guard_rows(inner, condition: Column):
     return run
 
 
-def _castable(old, new) -> bool:
+def castable(old, new) -> bool:
     from pyspark.sql import types as T
 
     nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)

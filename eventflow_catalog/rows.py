@@ -50,14 +50,13 @@ def _(spark, sf):
     return ef.head_sample(df, ["ts", "event_id"], 10).drop("ts")
 
 
-@query(
-    "route_by_dataset",
-    f"""SELECT event_id, tenant_id, dataset_id, CASE WHEN dataset_id IN ('click', 'view') THEN 'seen' END AS mark,
+ROUTED = f"""SELECT event_id, tenant_id, dataset_id, CASE WHEN dataset_id IN ('click', 'view') THEN 'seen' END AS mark,
         CASE WHEN dataset_id = 'error' THEN upper(event_type) ELSE event_type END AS event_type,
         CASE WHEN dataset_id NOT IN ('click', 'view', 'error') THEN 'eventflow' END AS processed_by
-        FROM {EVENTS} WHERE NOT (dataset_id = 'error' AND user_id < 50)""",
-)
-def _(spark, sf):
+        FROM {EVENTS} WHERE NOT (dataset_id = 'error' AND user_id < 50)"""
+
+
+def _specs():
     seen = [{"type": "add_field", "config": {"field": "mark", "value": "seen"}}]
     errors = [
         {"type": "conditional", "config": {"field": "user_id", "operator": "gte", "value": 50}},
@@ -68,5 +67,16 @@ def _(spark, sf):
         specs[tenant, "click"] = seen
         specs[tenant, "view"] = seen
         specs[tenant, "error"] = errors
-    out = ef.route(events(spark, sf), specs)
+    return specs
+
+
+@query("route_by_dataset", ROUTED)
+def _(spark, sf):
+    out = ef.route(events(spark, sf), _specs())
+    return out.select("event_id", "tenant_id", "dataset_id", "mark", "event_type", "processed_by")
+
+
+@query("route_one_scan", ROUTED)
+def _(spark, sf):
+    out = ef.route_once(events(spark, sf), _specs())
     return out.select("event_id", "tenant_id", "dataset_id", "mark", "event_type", "processed_by")
