@@ -89,15 +89,26 @@ def running_metrics(
     skipped_column: str = "_skipped",
     by: tuple[str, ...] = PARTITIONS,
 ) -> DataFrame:
-    """Running counters per dataset (counts are reduced per task before the state is touched)."""
+    """Running totals per dataset (reduced per task before the state is touched).
+
+    The last error is the one with the latest event time, in whatever order the batches bring them; of errors at the same time the
+    last by text.  ``avg_rows_per_sec`` is over the time between the first and the last event.
+    """
     failed = tx.field(error_column).isNotNull() if tx.has(stream, error_column) else F.lit(False)
     skipped = tx.is_true(tx.field(skipped_column)) if tx.has(stream, skipped_column) else F.lit(False)
+    at = tx.field(time_column)
+    error = tx.field(error_column) if tx.has(stream, error_column) else F.lit(None).cast("string")
+    last_error = F.max_by(error, F.when(failed, F.struct(at.alias("at"), error.alias("text"))))
+    stamp = at.cast("timestamp")
+    seconds = (F.unix_micros(F.max(stamp)) - F.unix_micros(F.min(stamp))) / 1e6
     return stream.groupBy(*[tx.field(k) for k in by]).agg(
         F.count("*").alias("total_processed"),
         F.count_if(~failed & ~skipped).alias("success_count"),
         F.count_if(failed).alias("error_count"),
         F.count_if(skipped & ~failed).alias("skipped_count"),
-        F.max(tx.field(time_column)).alias("last_processed"),
+        last_error.alias("last_error"),
+        F.max(at).alias("last_processed"),
+        F.when(seconds > 0, F.count("*") / seconds).alias("avg_rows_per_sec"),
     )
 
 
