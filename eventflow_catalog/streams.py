@@ -3,7 +3,18 @@
 from pyspark.sql import functions as F
 
 import eventflow as ef
-from eventflow.streaming import alert_stream, finish_alerts, keyed_alert_stream, metrics_stream, refreshing_stream, run_stream
+from eventflow.streaming import (
+    alert_stream,
+    committed,
+    finish_alerts,
+    keyed_alert_stream,
+    metrics_stream,
+    publish,
+    refreshing_stream,
+    route_errors_stream,
+    run_stream,
+    versioned_stream,
+)
 from eventflow.streaming.runner import latest_metrics
 
 from .base import EVENTS, query, table
@@ -182,3 +193,65 @@ def _(spark, sf):
     run.awaitTermination()
     back = ef.read_events(spark, out, "event_id bigint, c struct<c_name:string>")
     return back.select("event_id", F.col("c.c_name").alias("name"))
+
+
+@query(
+    "stream_dataset_metrics_full",
+    f"""SELECT tenant_id, dataset_id, count(*) AS total_processed, count(*) FILTER (value >= 20) AS success_count,
+        count(*) FILTER (value < 10) AS error_count, count(*) FILTER (value >= 10 AND value < 20) AS skipped_count,
+        arg_max('low ' || event_id, ts) FILTER (value < 10) AS last_error, strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS last_processed,
+        count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) AS avg_rows_per_sec FROM {EVENTS} GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    out, checkpoint = ef.scratch_dir(spark, "metrics"), ef.scratch_dir(spark, "checkpoint")
+    stream = _stream(spark, sf).withColumns(
+        {"_error": F.when(F.col("value") < 10, F.concat(F.lit("low "), "event_id")), "_skipped": F.col("value") < 20}
+    )
+    metrics_stream(stream, out, checkpoint, "at").awaitTermination()
+    latest = latest_metrics(spark.read.parquet(out))
+    return latest.withColumn("last_processed", F.date_format("last_processed", "yyyy-MM-dd'T'HH:mm:ss"))
+
+
+@query(
+    "stream_dead_letters",
+    """SELECT 'good' AS side, event_type AS kind, count(*) AS n FROM events GROUP BY ALL
+        UNION ALL SELECT 'dead', 'line is not a JSON object', count(*) FROM events WHERE event_id % 50 = 3""",
+)
+def _(spark, sf):
+    source, out, checkpoint = (ef.scratch_dir(spark, n) for n in ("arriving", "sides", "checkpoint"))
+    df = table(spark, sf, "events")
+    line = F.to_json(F.struct(*COLUMNS))
+    lines = df.select("event_id", F.explode(F.when(F.col("event_id") % 50 == 3, F.array(line, F.lit("broken"))).otherwise(F.array(line))).alias("value"))
+    for half in (0, 1):
+        lines.where(F.col("event_id") % 2 == half).select("value").write.mode("append").option("compression", "gzip").text(source)
+        # the second run goes on from the first one's checkpoint
+        route_errors_stream(ef.read_events_stream(spark, source, SCHEMA), out, checkpoint, partition_by=()).awaitTermination()
+    good, dead = committed(spark, out)
+    kept = ef.read_events(spark, good, SCHEMA).select(F.lit("good").alias("side"), F.col("event_type").alias("kind"))
+    lost = spark.read.parquet(*dead).select(F.lit("dead").alias("side"), F.col("_error").alias("kind"))
+    return kept.unionByName(lost).groupBy("side", "kind").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_versioned_lookups",
+    """SELECT event_id, CASE event_id % 2 WHEN 0 THEN 'first' ELSE 'second' END AS mark,
+       CASE event_id % 2 WHEN 0 THEN c_name ELSE c_mktsegment END AS found, n_name AS nation
+       FROM events JOIN customer ON c_custkey = user_id LEFT JOIN nation ON n_nationkey = user_id % 30""",
+)
+def _(spark, sf):
+    store, source, out, checkpoint = (ef.scratch_dir(spark, n) for n in ("store", "arriving", "versioned", "checkpoint"))
+    customers, nations = table(spark, sf, "customer"), table(spark, sf, "nation")
+    look_up = lambda name, source, index: {
+        "type": "enricher", "config": {"enricher_id": name, "source_field": source, "target_field": name, "index_column": index}
+    }
+    events_of = table(spark, sf, "events").join(customers, F.col("c_custkey") == F.col("user_id"), "left_semi")
+    for half, mark, value in ((0, "first", "c_name"), (1, "second", "c_mktsegment")):
+        rows = events_of.where(F.col("event_id") % 2 == half).select(F.to_json(F.struct(*COLUMNS, F.expr("user_id % 30 AS n"))).alias("value"))
+        rows.write.mode("append").option("compression", "gzip").text(source)
+        spec = [{"type": "add_field", "config": {"field": "mark", "value": mark}}, look_up("c", "user_id", "c_custkey"), look_up("n", "n", "n_nationkey")]
+        # the nations stay as they are, and with them their files
+        publish(spark, store, spec, {"c": customers.select("c_custkey", F.col(value).alias("found")), "n": nations.select("n_nationkey", "n_name")})
+        stream = ef.read_events_stream(spark, source, SCHEMA + ", n bigint")
+        versioned_stream(stream, store, out, checkpoint, partition_by=()).awaitTermination()
+    back = ef.read_events(spark, out, "event_id bigint, mark string, c struct<found:string>, n struct<n_name:string>")
+    return back.select("event_id", "mark", F.col("c.found").alias("found"), F.col("n.n_name").alias("nation"))
