@@ -35,6 +35,7 @@ from .plans.chain import preview, route, run_pipeline, run_pipeline_audited
 from .plans.merged import route_once
 from .plans.spec import as_spec, default_spec, register_filter, register_parser, validate_spec
 from .session import RECOMMENDED_CONF, configure, scratch_dir
+from .sources.delimited import read_delimited_records
 from .sources.events import parse_by_hint, promote, read_delimited, read_events, read_events_stream, read_lines
 from .sources.paths import select_source_files, with_format_hint, with_path_metadata
 from .sources.sinks import manifest, route_errors, split_errors, write_events, write_events_stream, write_manifest

@@ -200,17 +200,27 @@ def _(spark, sf):
     return ef.read_events(spark, roots, "event_id bigint", path_metadata=True).select("event_id", "tenant_id", "dataset_id")
 
 
-@query(
-    "read_csv_headers",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority,
-       FALSE AS bad FROM orders""",
-)
-def _(spark, sf):
+HEADERS = """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+    CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS o_orderpriority, FALSE AS bad FROM orders"""
+
+
+def _two_headers(spark, sf):
     path = ef.scratch_dir(spark, "headers")
     orders = table(spark, sf, "orders")
     orders.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus", "o_orderpriority").write.csv(path, header=True)
     orders.where("o_orderkey % 2 <> 0").select("o_orderstatus", "o_orderkey").write.mode("append").csv(path, header=True)
-    out = ef.read_delimited(spark, path)
+    return path
+
+
+@query("read_csv_headers", HEADERS)
+def _(spark, sf):
+    out = ef.read_delimited(spark, _two_headers(spark, sf))
+    return out.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("_error").isNotNull().alias("bad"))
+
+
+@query("read_csv_one_scan", HEADERS)
+def _(spark, sf):
+    out = ef.read_delimited_records(spark, _two_headers(spark, sf), columns=["o_orderkey", "o_orderstatus", "o_orderpriority"])
     return out.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.col("_error").isNotNull().alias("bad"))
 
 
