@@ -128,19 +128,41 @@ def dns(
     lookup = _table(tables, table)
     unique = first_per_key(lookup.select("name", "resolved"), "name", "resolved")
     small = fits_broadcast(lookup) if broadcast is None else broadcast
-    out, sets, temps, applied = df, {}, [], []
-    for i, name in enumerate(resolve):
-        if not tx.is_string(df, name):
-            continue
-        temp = f"_dns_{i}"
-        out = lookup_join(out, tx.field(name), unique, small, temp)
-        found = tx.field(temp).getField("resolved")
+    names = [n for n in dict.fromkeys(resolve) if tx.is_string(df, n)]
+    if not names:
+        return unchanged(df)
+    if small or len(names) == 1 or df.isStreaming:
+        # one exchange at most
+        out, found = df, {}
+        for i, name in enumerate(names):
+            out = lookup_join(out, tx.field(name), unique, small, f"_dns_{i}")
+            found[name] = tx.field(f"_dns_{i}").getField("resolved")
+        temps = tuple(f"_dns_{i}" for i in range(len(names)))
+    else:
+        out, found, temps = _resolved_together(df, names, unique)
+    sets, applied = {}, []
+    for name in names:
         target = target_field or (name + "_resolved" if action == "append" else name)
         before = sets.get(target, tx.field_text(df, target) if tx.has(df, target) else None)
-        sets[target] = found if before is None else F.coalesce(found, before)
-        temps.append(temp)
-        applied.append(found.isNotNull())
-    return Effect(out, sets=sets, applied=tx.any_of(applied), temps=tuple(temps))
+        sets[target] = found[name] if before is None else F.coalesce(found[name], before)
+        applied.append(found[name].isNotNull())
+    return Effect(out, sets=sets, applied=tx.any_of(applied), temps=temps)
+
+
+def _resolved_together(df: DataFrame, names: list[str], unique: DataFrame) -> tuple[DataFrame, dict[str, Column], tuple[str, ...]]:
+    """All fields by one join with a large table: the distinct tuples of values, exploded, resolved and put together again.
+
+    The wide rows are shuffled once, by the hash of their tuple, however many fields there are.
+    """
+    values = F.array(*[tx.field(n) for n in names])
+    tuples = df.select(values.alias("_values")).distinct()
+    each = tuples.select("_values", F.explode(F.array_distinct("_values")).alias("_value")).where("_value IS NOT NULL")
+    hits = lookup_join(each, F.col("_value"), unique, False).where("_found IS NOT NULL")
+    listed = hits.groupBy("_values").agg(F.map_from_entries(F.collect_list(F.struct("_value", "_found.resolved"))).alias("m"))
+    look_up = listed.select(F.to_json("_values").alias("_key"), F.struct("m").alias("_row"))
+    out = lookup_join(df, F.to_json(values), look_up, False, "_dns")
+    found = {n: F.try_element_at(tx.field("_dns").getField("m"), tx.field(n)) for n in names}
+    return out, found, ("_dns",)
 
 
 # Selectable field -> (key in the result, column of the range table).

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import json_text as js
 from ..functions import text as tx
+from ..session import stored
 
 
 def static_type(kind: T.DataType) -> str:
@@ -30,9 +31,10 @@ def static_type(kind: T.DataType) -> str:
 
 
 def _field_rows(df: DataFrame, record: str | None, order: Column | None = None) -> DataFrame:
-    """One row per field of every record: ``field``, ``type``, ``sample`` and ``ord``."""
+    """One row per field of every record: ``field``, ``type``, ``sample`` and ``ord``; each record has one more without a field."""
     at = F.lit(None).cast("string") if order is None else order
     if record is None:
+        entry = "struct<field:string,type:string,sample:string>"
         entries = F.array(
             *[
                 F.when(
@@ -43,18 +45,23 @@ def _field_rows(df: DataFrame, record: str | None, order: Column | None = None)
                         if isinstance(f.dataType, T.VariantType)
                         else F.lit(static_type(f.dataType)).alias("type"),
                         tx.text(tx.field(f.name), f.dataType).alias("sample"),
-                    ).cast("struct<field:string,type:string,sample:string>"),
+                    ).cast(entry),
                 )
                 for f in df.schema.fields
                 if not f.name.startswith("_")
             ]
-        )
-        rows = df.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"), at.alias("ord"))
-        return rows.select("e.field", "e.type", "e.sample", "ord")
+        ).cast(f"array<{entry}>")
+        none = F.lit(None).cast("string")
+        mark = F.array(F.struct(none.alias("field"), none.alias("type"), none.alias("sample")))
+        listed = F.concat(mark, F.filter(entries, lambda e: e.isNotNull()))
+        return df.select(F.explode(listed).alias("e"), at.alias("ord")).select("e.field", "e.type", "e.sample", "ord")
     value = tx.field(record)
     variant = value if isinstance(tx.type_of(df, record), T.VariantType) else js.strict_json(value)
     entries = F.map_entries(js.as_object(variant))
-    rows = df.select(F.explode(entries).alias("e"), at.alias("ord")).where(~F.col("e.key").startswith("_"))
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")))
+    # no object, no record
+    rows = df.select(F.explode(F.concat(mark, entries)).alias("e"), at.alias("ord"))
+    rows = rows.where(F.col("e.key").isNull() | ~F.col("e.key").startswith("_"))
     return rows.select(
         F.col("e.key").alias("field"),
         js.json_type(F.col("e.value")).alias("type"),
@@ -63,16 +70,11 @@ def _field_rows(df: DataFrame, record: str | None, order: Column | None = None)
     )
 
 
-def _record_count(df: DataFrame, record: str | None) -> DataFrame:
-    """Number of records (of JSON objects, if they are in a text or variant field)."""
-    if record is None:
-        return df.agg(F.count("*").alias("n"))
-    value = tx.field(record)
-    if isinstance(tx.type_of(df, record), T.VariantType):
-        counted = js.as_object(value).isNotNull()
-    else:
-        counted = js.starts_object(value) & js.is_json(value)
-    return df.agg(F.count_if(counted).alias("n"))
+def _with_total(merged: DataFrame, count: str) -> tuple[DataFrame, Column]:
+    """The fields, and the number of records out of the row without a field; the small table is stored, so the input is read once."""
+    kept = stored(merged, "fields")
+    total = kept.where("field IS NULL").agg(F.coalesce(F.sum(count), F.lit(0)).alias("n")).scalar()
+    return kept.where("field IS NOT NULL"), total
 
 
 def schema_union(df: DataFrame, record: str | None = None) -> DataFrame:
@@ -82,7 +84,7 @@ def schema_union(df: DataFrame, record: str | None = None) -> DataFrame:
     """
     # The inner aggregate reduces to one row per field and type before the types are gathered.
     kinds = _field_rows(df, record).groupBy("field", "type").agg(F.count("*").alias("n"))
-    total = _record_count(df, record).scalar()
+    kinds, total = _with_total(kinds, "n")
     return kinds.groupBy("field").agg(F.sort_array(F.collect_set("type")).alias("types")).select(
         "field", "types", total.alias("sample_count")
     )
@@ -96,7 +98,7 @@ def schema_profile(df: DataFrame, order_by: str, record: str | None = None) -> D
     merged = rows.groupBy("field").agg(
         F.mode("type", True).alias("type"), F.count("*").alias("count"), F.min_by("sample", "ord").alias("sample")
     )
-    total = _record_count(df, record).scalar()
+    merged, total = _with_total(merged, "count")
     return merged.select("field", "type", "count", (F.col("count") < total).alias("nullable"), "sample")
 
 
@@ -116,18 +118,40 @@ def dataset_metrics(
     skipped = tx.is_true(tx.field(skipped_column)) if tx.has(df, skipped_column) else F.lit(False)
     at = tx.field(time_column)
     error = tx.field(error_column) if tx.has(df, error_column) else F.lit(None).cast("string")
-    last_error = F.max_by(error, F.when(failed, F.struct(at.alias("at"), error.alias("text"))))
     stamp = at if tx.type_of(df, time_column) == T.TimestampType() else at.cast("timestamp")
-    seconds = (F.unix_micros(F.max(stamp)) - F.unix_micros(F.min(stamp))) / 1e6
-    return df.groupBy(*_keys(df, list(by))).agg(
-        F.count("*").alias("total_processed"),
-        F.count_if(~failed & ~skipped).alias("success_count"),
-        F.count_if(failed).alias("error_count"),
-        F.count_if(skipped & ~failed).alias("skipped_count"),
-        last_error.alias("last_error"),
-        F.max(at).alias("last_processed"),
-        F.when(seconds > 0, F.count("*") / seconds).alias("avg_rows_per_sec"),
+    # Numbers and times are all that the pass over the rows aggregates, by hash: a text such as the last error would make it sort
+    # them.  So errors are a key here, and the last one is picked among the few rows that are left.
+    keys = {f"_k{i}": tx.field(k) for i, k in enumerate(by)}
+    given = df.select(
+        *[c.alias(n) for n, c in keys.items()],
+        F.when(failed, error.cast("string")).alias("_e"),
+        failed.alias("_f"),
+        skipped.alias("_s"),
+        stamp.alias("_t"),
+        at.alias("_at"),
+    )
+    timed = not isinstance(tx.type_of(df, time_column), (T.StringType, T.VarcharType, T.CharType))
+    pieces = given.groupBy(*keys, "_e", *([] if timed else ["_at"])).agg(
+        F.count("*").alias("n"),
+        F.count_if(~F.col("_f") & ~F.col("_s")).alias("ok"),
+        F.count_if("_f").alias("bad"),
+        F.count_if(F.col("_s") & ~F.col("_f")).alias("out"),
+        F.min("_t").alias("first"),
+        F.max("_t").alias("last"),
+        *([F.max("_at").alias("_at")] if timed else []),
+    )
+    seconds = (F.unix_micros(F.max("last")) - F.unix_micros(F.min("first"))) / 1e6
+    total = F.sum("n")
+    merged = pieces.groupBy(*keys).agg(
+        total.alias("total_processed"),
+        F.sum("ok").alias("success_count"),
+        F.sum("bad").alias("error_count"),
+        F.sum("out").alias("skipped_count"),
+        F.max_by("_e", F.when(F.col("bad") > 0, F.struct("_at", "_e"))).alias("last_error"),
+        F.max("_at").alias("last_processed"),
+        F.when(seconds > 0, total / seconds).alias("avg_rows_per_sec"),
     )
+    return merged.select(*[F.col(n).alias(k) for n, k in zip(keys, by, strict=True)], *merged.columns[len(keys) :])
 
 
 def transformation_summary(audited: DataFrame) -> DataFrame:

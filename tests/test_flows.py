@@ -205,3 +205,32 @@ def test_files_are_scanned_as_often_as_needed(spark, tmp_path):
     table = spark.read.parquet(str(tmp_path / "t"))
     joined = ef.enricher(table, enricher_id="t", source_field="k", target_field="e", tables={"t": table}, broadcast=False)
     assert scans(joined) == 2 and joined.count() == 9
+
+
+def test_names_of_several_fields_take_one_join(spark):
+    names = spark.createDataFrame([(f"h{i}", f"10.0.0.{i}") for i in range(9)], "name string, resolved string")
+    df = spark.range(40).selectExpr("id", "concat('h', id % 12) AS a", "IF(id % 5 = 0, NULL, concat('h', id % 7)) AS b", "concat('h', id % 3) AS c")
+    want = {i: (f"10.0.0.{i % 12}" if i % 12 < 9 else f"h{i % 12}", None if i % 5 == 0 else f"10.0.0.{i % 7}", f"10.0.0.{i % 3}") for i in range(40)}
+    for broadcast in (True, False):
+        out = ef.dns(df, resolve=["a", "b", "c", "none"], tables={"dns": names}, broadcast=broadcast)
+        assert {r.id: (r.a, r.b, r.c) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one join of the names with the distinct tuples, one of the rows
+    assert plan.count("SortMergeJoin") == 2
+
+
+def test_schemas_read_their_input_once(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(50).selectExpr("id", "IF(id % 3 = 0, NULL, 'x') AS x", "to_json(named_struct('id', id, 'k', IF(id % 2 = 0, 'v', NULL))) AS j").write.parquet(path)
+    df = spark.read.parquet(path)
+    whole = {r.field: (r.types, r.sample_count) for r in ef.schema_union(df).collect()}
+    assert whole == {"id": (["number"], 50), "x": (["string"], 50), "j": (["string"], 50)}
+    inside = {r.field: (r.type, r["count"], r.nullable) for r in ef.schema_profile(df, "id", "j").collect()}
+    assert inside == {"id": ("number", 50, False), "k": ("string", 25, True)}
+    assert path not in ef.schema_union(df)._jdf.queryExecution().executedPlan().toString()
+    assert ef.schema_union(df.limit(0)).collect() == [] and ef.schema_profile(df.where("id < 0"), "id", "j").collect() == []
+    metrics = ef.dataset_metrics(df.selectExpr("id", "'t' AS tenant_id", "'d' AS dataset_id", "timestamp_seconds(id) AS at", "x AS _error"), "at")
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    # the rows are aggregated by hash; only what is left of them is sorted
+    assert plan.count("FileScan") == 1 and plan.index("HashAggregate") > plan.index("SortAggregate")
+    assert metrics.first().last_error == "x"
