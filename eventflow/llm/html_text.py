@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import quoted, without
 
-# Bound of the labelled sample the weights are learnt from, in pages, and of the weights.
+# Bound of the labelled sample the weights are learnt from, in pages; rarer features of it have no weight of their own.
 LABELLED_PAGES = 1_000
-FEATURES = 2_000
+LEAST_COUNT = 5
 
 # HTML's elements that break a line of text, and those whose content is no text.
 BLOCKS = frozenset(
@@ -24,28 +24,38 @@ BLOCKS = frozenset(
     " tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style template noscript iframe textarea title svg math object select canvas audio video noembed noframes"
-# Elements, and words in class, id or role, that mark what stands around the main text.
+RAW = frozenset("script style template noscript iframe textarea title svg object select canvas audio video noembed noframes".split())
+# Of these, the ones that go on to the end of the page if they are not closed, and that a slash does not close.
+ENDLESS = frozenset("script style textarea title".split())
+# Elements, and words in class or role (outside of the article also in id), that mark what stands around the main text.
 AROUND = frozenset("nav footer aside form menu dialog button search".split())
 AROUND_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar sidenav menu menubar nav navbar"
     " navigation breadcrumb breadcrumbs footer masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert popup modal overlay"
     " newsletter subscribe subscription signup login comment comments disqus reply replies respond discussion feedback share sharing social related recommended"
-    " widget widgets pagination pager skip contentinfo complementary".split()
+    " widget widgets pagination pager skip contentinfo complementary commentlist commentform".split()
 )
-TITLED = frozenset("article content entry post story title".split())
+# Words that may stand beside these in one name without changing what it means.
+PLAIN_WORDS = frozenset(
+    "site page main primary secondary top bottom left right side bar box block area section list item items container wrapper inner outer"
+    " wrap links link buttons button posts post entry articles article content header body user reader readers slot unit form text message global"
+    " sticky fixed mobile desktop thread google js ui c m l".split()
+)
+TITLED = frozenset(["article", "content", "entry", "post", "story", "title"])
 MAIN = frozenset(["article", "main"])
-COMPOUND = re.compile(r"(?:side|nav|tool|menu|cookie|foot|comment|advert|breadcrumb)")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Words that are as well the names of an article's sections, so that an id says nothing by them; inside it only the others say something.
+SECTIONS = frozenset("discussion feedback related social sharing share notice notices skip".split())
+READERS = frozenset("comment comments commentlist commentform respond disqus".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + RAW.replace(" ", "|") + r")\b(?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?][^>]*>|</?[a-zA-Z][^>]*>",
-    re.DOTALL | re.IGNORECASE,
+    re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 OPEN, CLOSE, TEXT = 0, 1, 2
@@ -53,24 +63,58 @@ OUTPUT = ("text", "n_chars")
 
 
 def tokens(page: str) -> list[tuple[int, str, str]]:
-    """The page as (kind, name, rest): tags with their attributes, and text as it is written; no comments or raw elements."""
+    """The page as (kind, name, rest): tags with their attributes, and text as it is written; no comments or raw elements.
+
+    A raw element that is not closed is a tag like others; but a script, style, textarea or title goes on to the end, as in a browser.
+    """
     out, at = [], 0
-    for m in TOKEN.finditer(page):
+    unclosed: set[str] = set()
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             out.append((TEXT, "", page[at : m.start()]))
         at = m.end()
-        if m["raw"]:
-            out.append((OPEN, "#raw", ""))
-        elif m["name"]:
-            out.append((CLOSE if m["close"] else OPEN, m["name"].lower(), m["attrs"]))
+        if not m["name"]:
+            continue
+        name, attrs = m["name"].lower(), m["attrs"]
+        if m["close"]:
+            out.append((CLOSE, name, attrs))
+            continue
+        if name in RAW and (name in ENDLESS or not attrs.endswith("/")) and name not in unclosed:
+            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
+            if end or name in ENDLESS:
+                at = end.end() if end else len(page)
+                out.append((OPEN, "#raw", ""))
+                continue
+            unclosed.add(name)  # nor will a later one be
+        out.append((OPEN, name, attrs))
     if at < len(page):
         out.append((TEXT, "", page[at:]))
     return out
 
 
+def attributes(attrs: str) -> dict[str, str]:
+    """Attributes by name, without quotes; of one that stands twice the first counts."""
+    out: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(attrs):
+        out.setdefault(name.lower(), value.strip("\"'") if value[:1] in ("'", '"') else value)
+    return out
+
+
+def words_of(value: str) -> list[str]:
+    return [w.lower() for w in PART.findall(value)]
+
+
 def marks(attrs: str) -> list[str]:
     """Words of class, id and role."""
-    return [w.lower() for _, v in ATTRIBUTE.findall(attrs) for w in PART.findall(v)] if "=" in attrs else []
+    if "=" not in attrs:
+        return []
+    known = attributes(attrs)
+    return [w for n in ("class", "id", "role") for w in words_of(known.get(n, ""))]
+
+
+def hidden(known: dict[str, str]) -> bool:
+    shut = "hidden" in known and known["hidden"].lower() != "false"
+    return shut or known.get("aria-hidden", "").lower() == "true" or bool(NO_DISPLAY.search(known.get("style", "")))
 
 
 def partners(stream: list[tuple[int, str, str]]) -> dict[int, int]:
@@ -99,17 +143,31 @@ def grown(stream: list[tuple[int, str, str]], a: int, b: int) -> tuple[int, int]
 
 
 def around(name: str, attrs: str, inside_main: bool) -> bool:
-    """Whether an element is a menu, footer, advert, form, notice, comment section or the like."""
+    """Whether an element is a menu, footer, advert, form, notice, comment section or the like.
+
+    A class, role or id says so as a whole name: one of AROUND_WORDS, perhaps with PLAIN_WORDS (``comment-list``), but not with others
+    (``related-work``).  Inside the main text headings, and ids but those of reader comments, say nothing, since their names come from the text.
+    """
     if name in AROUND or name == "header" and not inside_main:
         return True
     if not attrs or name in ("html", "body") or name in MAIN:
         return False
-    words = marks(attrs)
-    if "header" in words and not inside_main and not TITLED.intersection(words):
+    known = attributes(attrs)
+    if hidden(known):
+        return True
+    if inside_main and name in HEADINGS:
+        return False
+    if not inside_main and "header" in marks(attrs) and not TITLED.intersection(marks(attrs)):
         return True
-    return bool(AROUND_WORDS.intersection(words)) or bool(HIDDEN.search(attrs)) or any(
-        len(w) > 5 and COMPOUND.match(w) and w not in ("sides", "footed", "commentary") for w in words
-    )
+    own = AROUND_WORDS - {"discussion"} if inside_main else AROUND_WORDS
+    names = [(own, n) for n in (*known.get("class", "").split(), known.get("role", ""))]
+    if name not in HEADINGS:
+        names.append((READERS if inside_main else AROUND_WORDS - SECTIONS, known.get("id", "")))
+    for marked, whole in names:
+        each = words_of(whole)
+        if marked.intersection(each) and all(w in AROUND_WORDS or w in PLAIN_WORDS for w in each):
+            return True
+    return False
 
 
 def features(kind: int, name: str, attrs: str) -> list[str]:
@@ -170,7 +228,10 @@ class Weights:
 
     def tag(self, kind: int, name: str, attrs: str) -> float:
         odds = [self.inside[f] for f in features(kind, name, attrs) if f in self.inside]
-        inside = min(odds) if odds else 0.0 if kind == OPEN and around(name, attrs, True) else 0.8
+        inside = min(odds) if odds else 0.8
+        if not odds and kind == OPEN:
+            # a name that no labelled page has: its words tell, but do not decide
+            inside = 0.0 if around(name, attrs, False) else 0.4 if AROUND_WORDS.intersection(marks(attrs)) else 0.8
         return -0.05 - 4.0 * (1 - inside) ** 2
 
 
@@ -198,7 +259,7 @@ def learnt(pages: DataFrame, sample: int = LABELLED_PAGES) -> dict[str, float]:
     """Share of each feature's occurrences inside the main text, over pages that mark it, drawn by a hash of the page.
 
     Pages with an ``article`` or ``main`` element are the labelled ones.  About ``sample`` of them are read;
-    the FEATURES most frequent features come to the driver.
+    the features that these have LEAST_COUNT times or more come to the driver.
     """
     labelled = pages.filter(F.col("html").rlike("(?i)<(article|main)\\b")).select("html", F.xxhash64("html").alias("print"))
     n = labelled.count()
@@ -217,8 +278,8 @@ def learnt(pages: DataFrame, sample: int = LABELLED_PAGES) -> dict[str, float]:
         )
 
     sums = drawn.mapInArrow(count, "feature string, a bigint, b bigint").groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    top = sums.orderBy((F.col("a") + F.col("b")).desc(), "feature").limit(FEATURES).collect()
-    return {r["feature"]: (r["a"] + 1) / (r["a"] + r["b"] + 2) for r in top}
+    known = sums.filter(F.col("a") + F.col("b") >= LEAST_COUNT).collect()
+    return {r["feature"]: (r["a"] + 1) / (r["a"] + r["b"] + 2) for r in known}
 
 
 def main_text(page: str, weights: Weights) -> str:
@@ -264,7 +325,8 @@ def extract(pages: DataFrame, inside: dict[str, float] | None = None) -> DataFra
     finds the contiguous run of tokens with the largest score; its weights (``inside``) are learnt from ``pages`` if not given.  If the run
     ends within an ``article`` or ``main`` element, it takes all of that.
 
-    A null or empty page, and one without words, has the empty text.  An element that is never closed takes nothing with it.  The
+    A null or empty page, and one without words, has the empty text.  An element that is never closed takes nothing with it, but for
+    scripts, styles, text areas and titles, which take the rest as in a browser.  The
     earliest of equally good runs wins.  Repeated rows give equal texts; an empty table gives an empty table; columns of the input named as
     in ``OUTPUT`` are replaced.
     """

@@ -228,6 +228,48 @@ def test_article_without_what_is_around(spark, sf):
         assert got[p.page_id].text == want and got[p.page_id].n_chars == len(want)
 
 
+ARTICLE = "<html><body><nav>Menu no</nav><article><h1>Head</h1><p>Start of the text here.</p>{}<p>End of the text here.</p></article><footer>No</footer></body></html>"
+KEPT = [
+    '<section id="discussion"><p>Kept words</p></section>', '<h2 id="related-work">Kept words</h2>', '<h2 id="navier-stokes">Kept words</h2>',
+    '<section id="football"><p>Kept words</p></section>', '<h2 id="sharing-data">Kept words</h2>', '<h2 id="notice-periods">Kept words</h2>',
+    '<h2 id="social-history">Kept words</h2>', '<p class="toolchain">Kept words</p>', '<div class="footnotes">Kept words</div>',
+    '<p title="the hidden truth">Kept words</p>', '<p hidden-x="1">Kept words</p>', '<p data-display="hidden">Kept words</p>',
+    '<svg width="1"/><p>Kept words</p>', '<p>Kept <math><mi>words</mi></math></p>', '<video><p>Kept words</p>', '<h2 class="comments">Kept words</h2>',
+    '<p hidden="false">Kept words</p>', '<div class="related-work">Kept words</div>', '<p style="color:red">Kept words</p>', '<canvas/><p>Kept words</p>',
+]
+DROPPED = [
+    '<div class="ad">no</div>', '<div class="comments"><p>no</p></div>', '<ul class="comment-list"><li>no</li></ul>', "<form>no</form>", "<nav>no</nav>",
+    '<div class="share-buttons">no</div>', '<p hidden>no</p>', '<p style="margin:0; display: none">no</p>', '<p aria-hidden="true">no</p>',
+    "<aside>no</aside>", "<svg><text>no</text></svg>", "<script>no</script>", '<div class="x relatedPosts">no</div>', '<div class="newsletter">no</div>',
+]
+
+
+def test_article_keeps_what_is_its_own():
+    for weights in (H.Weights({}), H.Weights({"#word": 0.95, "nav": 0.01, "/nav": 0.01, "p": 0.9, "div.ad": 0.2})):
+        for inner in KEPT:
+            assert H.main_text(ARTICLE.format(inner), weights) == "Head\nStart of the text here.\nKept words\nEnd of the text here.", inner
+        for inner in DROPPED:
+            assert H.main_text(ARTICLE.format(inner), weights) == "Head\nStart of the text here.\nEnd of the text here.", inner
+
+
+def test_pages_without_article_are_decided_by_the_scan():
+    body = "".join(f"<p>Paragraph {i} has a good many words of running text in it.</p>" for i in range(5))
+    links = "".join(f"<li><a href=/{i}>Topic</a></li>" for i in range(12))
+    page = f'<html><body><div><ul class="x1">{links}</ul></div><div class="x2">{body}<h2 id="discussion">Discussion</h2>{body}</div><div><ul>{links}</ul></div></body></html>'
+    text = H.main_text(page, H.Weights({"#link": 0.1, "li": 0.2, "/li": 0.2, "a": 0.4, "/a": 0.4, "ul": 0.2, "p": 0.95}))
+    assert text.split("\n") == [*[f"Paragraph {i} has a good many words of running text in it." for i in range(5)], "Discussion", *[f"Paragraph {i} has a good many words of running text in it." for i in range(5)]]
+    # other weights, other text: the scores decide
+    assert "Topic" in H.main_text(page, H.Weights({"#link": 0.99, "li": 0.99, "/li": 0.99, "ul": 0.99, "/ul": 0.99}))
+
+
+def test_open_and_long_raw_elements():
+    weights = H.Weights({})
+    assert H.main_text("<article><p>a b</p><script>no no", weights) == "a b"
+    assert H.main_text("<article><p>a b</p><svg><p>c</p>", weights) == "a b\nc"
+    many = "<article>" + "<video>w " * 20_000 + "</article>"
+    assert len(H.main_text(many, weights).split()) == 20_000
+
+
 PAGE = """<!doctype html><html><head><title>No</title><script>if (a < b) "<p>no</p>"</script></head><body class="with-sidebar">
 <header><a href=/>Home no</a></header><div class="cookie-notice">We use cookies no</div><div class=sidebar><p>Side no</p></div>
 <main><article><header><h1>Title &lt;1&gt;</h1></header><p>One  two<br>three &amp; four</p><aside>Aside no</aside>
