@@ -25,7 +25,8 @@ ENDINGS = {
 }
 
 _FORMS = "|".join(w for words in ADDRESS.values() for w in words.split())
-_NAME = r"\p{Lu}[\p{L}\p{M}'’]+"
+# A name ends before a possessive s.
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’](?!s(?!\p{L})))+"
 # The words for a secret, anywhere in a name such as DB_PASSWORD or secretKey; the last one in a name begins the match, so a name is read once.
 _WORDS = r"(?i:password|passwd|passphrase|pwd|token(?!i[sz])|secret(?!ar[iy]|ion|ive|ly)|api[_-]?key|access[_-]?key)"
 SECRET = rf"{_WORDS}(?:(?!{_WORDS})[A-Za-z0-9_-])*+[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?"
@@ -33,16 +34,21 @@ _IP = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\w]
 # A telephone number ends before an address, and has seven digits or more.
 _MORE = rf"(?![ -]{_IP})[ .-]?"
 _SEVEN = r"(?<=" + r"\d[ .()-]{0,3}" * 6 + r"\d)"
+# How the tokens of common services begin.
+_ISSUED = r"(?:eyJ|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk-|AIza)"
+_GROUP = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
     "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "secret": rf"{SECRET}[A-Za-z0-9+/_.~-]{{6,}}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
+    "token": r"(?<![\w-])(?:eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]+|(?:gh[pousr]_|github_pat_)\w{30,}|glpat-[\w-]{20,}|xox[abprs]-[\w-]{10,}|sk-[\w-]{20,}|AIza[\w-]{35})(?![\w-])",
+    "ip6": rf"(?<![\w:.])(?=[A-Fa-f:]*+[0-9])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?={_GROUP}:+{_GROUP}:)(?:{_GROUP}:){{1,6}}(?::{_GROUP}){{1,6}}|(?:{_GROUP}:){{2,7}}:)(?![\w:]|\.\d)",
     "person": rf"(?<!\p{{L}})(?:{_FORMS})\.?\s{{1,3}}{_NAME}(?:[ -]{_NAME}){{0,2}}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "card": r"(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": rf"(?<![\w.]){_IP}",
-    "phone": rf"(?<![\w+])(?:\+\d{{1,3}}(?:{_MORE}\(\d{{1,4}}\))?(?:{_MORE}\d{{2,5}}){{2,5}}{_SEVEN}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}})(?!\w)",
+    "phone": rf"(?<![\w+])(?:\+\d{{1,3}}(?:{_MORE}\(\d{{1,4}}\))?(?:{_MORE}\d{{2,5}}){{2,5}}{_SEVEN}|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}}|(?<![.,/-])0\d{{2,4}}[ /-]\d{{5,8}}(?![.,-]?\d))(?!\w)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What a text must have for any of the patterns to match.
@@ -61,7 +67,7 @@ def _chars(text: Column) -> Column:
 def kind_of(found: Column) -> Column:
     """Type of a found piece of text."""
     out = F.when(found.contains("@") & ~found.rlike(f"^{SECRET}"), F.lit("email"))
-    for kind in ("secret", "key", "person", "ip", "ssn", "card", "iban"):
+    for kind in ("secret", "key", "token", "ip6", "person", "ip", "ssn", "card", "iban"):
         anchored = rf"^(?:{PATTERNS[kind]})$"
         out = out.when(found.rlike(anchored), F.lit(kind))
     return out.otherwise(F.lit("phone"))
@@ -89,6 +95,7 @@ def parts_of(found: Column) -> Column:
         .when(kind == "secret", _value(found))
         .when(kind == "phone", F.concat(F.regexp_extract(found, r"^\+(\d{1,3})", 1), F.lit("|"), F.regexp_replace(F.regexp_replace(found, r"^\+\d{1,3}", ""), "[^0-9]", "")))
         .when(kind.isin("iban", "card", "ssn"), compact)
+        .when(kind == "ip6", F.lower(found))
         .otherwise(found)
     )
     names = F.split(F.regexp_replace(found, r"^\S+\s+", ""), "[ -]")
@@ -112,7 +119,7 @@ def _number(stream: Column, i: Column | int, below: int) -> Column:
 
 def _same_classes(value: Column, stream: Column) -> Column:
     """Each letter and digit by one of its class; a hexadecimal value stays one."""
-    hexadecimal = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+    hexadecimal = value.rlike("^(?:[0-9a-f:]+|[0-9A-F:]+)$")
     letters = "abcdefghijklmnopqrstuvwxyz"
 
     def one(c: Column, i: Column) -> Column:
@@ -157,6 +164,7 @@ def fake_value(key: str, kind: Column, value: Column, attempt: Column) -> Column
     host = _same_classes(F.substring_index(domain, ".", 1), d)
     email = F.concat(_same_classes(local, s), F.lit("@"), host, F.lit(".example."), F.substring_index(domain, ".", -1))
     country, rest = F.substring_index(value, "|", 1), F.substring_index(value, "|", -1)
+    trunk, issuer = F.regexp_extract(rest, "^(0?)", 1), F.regexp_extract(value, f"^({_ISSUED})", 1)
     body = F.concat(F.substring(value, 1, 1), F.substr(_digits(F.length(value), s), F.lit(2), F.length(value) - 2))
     right = _check_digit(body)
     valid = _check_digit(F.substr(value, F.lit(1), F.length(value) - 1)).cast("string") == F.substring(value, -1, 1)
@@ -164,13 +172,14 @@ def fake_value(key: str, kind: Column, value: Column, attempt: Column) -> Column
     octets = [F.lit(11) + _number(s, 0, 89), *[_number(s, i, 256) for i in (1, 2)], 1 + _number(s, 3, 254)]
     out = (
         F.when(kind == "email", email)
-        .when(kind == "phone", F.concat(country, F.lit("|"), _digits(F.length(rest), s)))
+        .when(kind == "phone", F.concat(country, F.lit("|"), trunk, _digits(F.length(rest) - F.length(trunk), s)))
         .when(kind == "card", card)
         .when(kind == "ssn", F.concat(F.lit("9"), _digits(F.lit(8), s)))
         .when(kind == "ip", F.concat_ws(".", *[o.cast("string") for o in octets]))
         .when(kind.isin("key", "iban"), F.concat(F.substring(value, 1, 2), F.when(kind == "key", F.substring(value, 3, 2)).otherwise(F.lit("")),
               _same_classes(F.when(kind == "key", F.substring(value, 5, 1000)).otherwise(F.substring(value, 3, 1000)), s)))
-        .when(kind == "secret", _same_classes(value, s))
+        .when(kind == "token", F.concat(issuer, _same_classes(F.substr(value, F.length(issuer) + 1, F.length(value)), s)))
+        .when(kind.isin("secret", "ip6"), _same_classes(value, s))
     )
     script, ending = _script(value), _ending(kind, value)
     for name, syllables in SYLLABLES.items():
@@ -183,7 +192,7 @@ def fake_value(key: str, kind: Column, value: Column, attempt: Column) -> Column
 
 def _same_choices(value: Column) -> Column:
     """For each letter and digit those of ``_same_classes``, for others themselves."""
-    hexadecimal = value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
+    hexadecimal = value.rlike("^(?:[0-9a-f:]+|[0-9A-F:]+)$")
     low = F.when(hexadecimal, _strings("abcdef")).otherwise(_strings("abcdefghijklmnopqrstuvwxyz"))
     return F.transform(
         _chars(value),
@@ -207,6 +216,7 @@ def choices(key: str, kind: Column, value: Column, width: Column) -> Column:
     host = _same_classes(F.substring_index(domain, ".", 1), _stream(key, F.lit("domain"), domain, F.lit(0)))
     at = F.concat(F.lit("@"), host, F.lit(".example."), F.substring_index(domain, ".", -1))
     country, rest = F.substring_index(value, "|", 1), F.substring_index(value, "|", -1)
+    trunk, issuer = F.regexp_extract(rest, "^(0?)", 1), F.regexp_extract(value, f"^({_ISSUED})", 1)
     valid = _check_digit(F.substr(value, F.lit(1), F.length(value) - 1)).cast("string") == F.substring(value, -1, 1)
     # the last place of a card is what its check digit is off by
     card = F.concat(one(F.substring(value, 1, 1)), F.array_repeat(digit, F.length(value) - 2), more, F.array(F.when(valid, _strings("0")).otherwise(_strings(range(1, 10)))))
@@ -216,13 +226,14 @@ def choices(key: str, kind: Column, value: Column, width: Column) -> Column:
     address = F.when(width == 0, narrow).otherwise(F.concat(F.array(_strings(range(256)), octet, octet, octet), F.array_repeat(octet, width - 1)))
     out = (
         F.when(kind == "email", F.concat(_same_choices(F.substring_index(value, "@", 1)), more, one(at)))
-        .when(kind == "phone", F.concat(one(F.concat(country, F.lit("|"))), lead, F.array_repeat(digit, F.length(rest) - 1), more))
+        .when(kind == "phone", F.concat(one(F.concat(country, F.lit("|"), trunk)), lead, F.array_repeat(digit, F.length(rest) - F.length(trunk) - 1), more))
         .when(kind == "card", card)
         .when(kind == "ssn", F.concat(one(F.lit("9")), lead, F.array_repeat(digit, F.lit(7)), more))
         .when(kind == "ip", address)
         .when(kind == "key", F.concat(one(F.substring(value, 1, 4)), _same_choices(F.substring(value, 5, 1000)), more))
         .when(kind == "iban", F.concat(one(F.substring(value, 1, 2)), _same_choices(F.substring(value, 3, 1000)), more))
-        .when(kind == "secret", F.concat(_same_choices(value), more))
+        .when(kind == "token", F.concat(one(issuer), _same_choices(F.substr(value, F.length(issuer) + 1, F.length(value))), more))
+        .when(kind.isin("secret", "ip6"), F.concat(_same_choices(value), more))
     )
     script, ending = _script(value), _ending(kind, value)
     for name, syllables in SYLLABLES.items():
@@ -311,7 +322,7 @@ def dressed(found: Column, fakes: Column) -> Column:
     names = F.array_join(F.transform(fakes, lambda n, i: F.concat(n, F.coalesce(F.get(gaps, i), F.lit("")))), "")
     return (
         F.when(kind == "person", F.concat(form, F.when(loud, F.upper(names)).otherwise(names)))
-        .when(kind == "email", F.when(loud, F.upper(first)).otherwise(first))
+        .when(kind.isin("email", "ip6"), F.when(loud, F.upper(first)).otherwise(first))
         .when(kind == "secret", F.concat(F.regexp_extract(found, f"^({SECRET})", 1), first))
         .when(kind.isin("phone", "card", "ssn", "iban"), placed)
         .otherwise(first)
@@ -356,12 +367,27 @@ def collisions(entities: DataFrame, key: str) -> DataFrame | None:
     return store(ranked if moved is None else moved.select("kind", "value", "fake").unionByName(ranked), "moved")
 
 
+def names_in(found: Column) -> Column:
+    """The words of the names among the found pieces, as written, in capitals and with one capital."""
+    people = F.filter(found, lambda f: kind_of(f) == "person")
+    words = F.flatten(F.transform(people, lambda f: F.split(F.regexp_replace(f, r"^\S+\s+", ""), "[ -]")))
+    return F.array_distinct(F.concat(words, F.transform(words, F.upper), F.transform(words, F.initcap)))
+
+
+def bare(found: Column) -> Column:
+    """Whether a found piece is a name without a form of address."""
+    return found.rlike(r"\A[\p{L}\p{M}'’]+\z")
+
+
 def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``OUTPUT``: the number of entities found, their types, and the surrogates in order.
 
-    Found are e-mail addresses, telephone, card, account (IBAN) and social-security numbers, IPv4 addresses, passwords and keys, and names after
-    a form of address.  A surrogate depends on ``key`` and the entity alone: all its mentions get the same one, in the
-    format of each, and different entities get different ones (``collisions``); only where a format has no free ones left they get longer.  Numbers keep length, grouping and country code, a card its
+    Found are e-mail addresses, telephone, card, account (IBAN) and social-security numbers, IPv4 and IPv6 addresses, passwords, keys and the tokens of
+    common services, and names after a form of address.  Every word of such a name is then found in the whole of its text, with a form of address or
+    without; there a word that is both a given name and a surname, or of both genders, counts as what it is first.  A surrogate depends on
+    ``key`` and the entity (after a form of address, given names of another gender are another one); all its mentions get the same one, in the
+    format of each, and different entities get different ones (``collisions``).  So it also depends on the other entities where two want the same surrogate: a
+    corpus that has grown may give some entities others.  Only where a format has no free ones left they get longer.  Numbers keep length, grouping and country code, a card its
     scheme and the validity of its check digit; names keep the gender that the form of address tells and the script.
 
     A null text stays null, with no entities; a text without any stays as it is.  Rows equal in doc_id and text get equal results.  An empty table gives
@@ -377,7 +403,16 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
     entities = store(mentions.groupBy("kind", "value").agg(F.count("*").alias("n")).select("kind", "value"), "entities")
     moved = collisions(entities, key)
 
-    rows = docs.withColumn("__found", F.coalesce(spotted, none))
+    rows = docs.withColumn("__first", F.coalesce(spotted, none))
+    # a second look at the texts with names, with a pattern of their own
+    rows = rows.withColumn("__names", F.when(F.exists("__first", lambda f: kind_of(f) == "person"), names_in(F.col("__first"))).otherwise(none))
+    named = F.size("__names") > 0
+    again_ = F.concat(F.lit(f"{ANY}|(?<![\\p{{L}}\\p{{M}}\\p{{N}}_'’])(?:"), F.array_join("__names", "|"), F.lit(r")(?![\p{L}\p{M}\p{N}_])"))
+    found_again = F.regexp_extract_all("text", F.concat(F.lit("("), again_, F.lit(")")), F.lit(1))
+    rows = rows.withColumn("__found", F.when(named, found_again).otherwise(F.col("__first")))
+    # the entity of each word of a name: the first that it is part of
+    people = F.flatten(F.transform(F.filter("__first", lambda f: kind_of(f) == "person"), parts_of))
+    rows = rows.withColumn("__people", F.when(named, people).otherwise(F.array().cast("array<struct<kind:string,value:string>>")))
     if moved is None:
         rows = rows.withColumn("__moved", F.lit(None).cast("map<string,string>"))
     else:
@@ -393,16 +428,21 @@ def replace_personal_data(docs: DataFrame, key: str) -> DataFrame:
             other = F.get(F.map_values(F.map_filter("__moved", lambda k, _: k == F.concat_ws("\x1f", e["kind"], e["value"]))), 0)
             return F.coalesce(other, fake_value(key, e["kind"], e["value"], F.lit(0)))
 
-        return dressed(found, F.transform(parts_of(found), fake))
+        def of_name(word: Column) -> Column:
+            return fake(F.get(F.filter("__people", lambda e: e["value"] == F.initcap(word)), 0))
+
+        whole = dressed(found, F.transform(parts_of(found), fake))
+        loud = F.upper(found) == found
+        return F.when(bare(found), F.when(loud, F.upper(of_name(found))).otherwise(of_name(found))).otherwise(whole)
 
     some = F.size("__found") > 0
     rows = rows.withColumns(
         {
             "__new": F.when(some, F.transform("__found", surrogate)).otherwise(none),
-            "__kinds": F.when(some, F.transform("__found", kind_of)).otherwise(none),
+            "__kinds": F.when(some, F.transform("__found", lambda f: F.when(bare(f), "person").otherwise(kind_of(f)))).otherwise(none),
         }
     )
-    between = F.split("text", ANY, -1)
+    between = F.when(named, F.split("text", again_, -1)).otherwise(F.split("text", ANY, -1))
     text = F.array_join(F.zip_with(between, F.col("__new"), lambda b, s: F.concat(b, F.coalesce(s, F.lit("")))), "")
     text = F.when(some, text).otherwise(F.col("text"))
     columns = [text.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns]
