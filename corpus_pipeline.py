@@ -12,6 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import AnalysisException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -57,14 +58,39 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes, in training order; a document taken twice is there twice."""
+    """What the mix takes, in training order; a document taken twice is there twice.
+
+    The rows are range-sorted, so the files that they are written to have them in order of training.
+    """
     return in_training_order(mix(docs)).select(*quoted(docs.columns))
 
 
+def training_rank(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with ``training_rank``: the place of a row in the training order, which its file and its place there tell.
+
+    Counts by file, as many as the writing job had partitions, give each file's first rank; no row is moved.  Rows that are not read from
+    files have null.
+    """
+    docs = docs.drop("training_rank")
+    try:
+        placed = docs.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
+    except AnalysisException:
+        return docs.withColumn("training_rank", F.lit(None).cast("bigint"))
+    part = F.regexp_extract("__file", r"part-(\d+)[^/]*$", 1).cast("long")
+    files = placed.groupBy("__file").agg(F.count("*").alias("n"), F.first(part).alias("part")).collect()
+    first, offsets = 0, []
+    for f in sorted(files, key=lambda f: (f["part"], f["__file"])):
+        offsets.append((f["__file"], first))
+        first += f["n"]
+    starts = spark.createDataFrame(offsets, "__of string, __first bigint")
+    ranked = placed.join(F.broadcast(starts), F.col("__file") == F.col("__of"))
+    return ranked.select(*quoted(docs.columns), (F.col("__first") + F.col("__row")).alias("training_rank"))
+
+
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and its slot there."""
+    """Every row with its shard, its slot there, and its place in the training order."""
     old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS)).cast("int")
-    return reshard(docs, old, OLD_SHARDS, SHARDS)
+    return reshard(training_rank(spark, docs), old, OLD_SHARDS, SHARDS)
 
 
 STAGES = [

@@ -140,6 +140,20 @@ def path_of(source: Column, lang: Column) -> Column:
     return F.when(segment != "", segment).otherwise(F.coalesce(lang, F.lit("")))
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``__id, __quality``: the largest label of each document that has one."""
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+    return known.groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("__quality"))
+
+
+def own_part(model: Classifier) -> tuple[Column, Column]:
+    """What a document counts in its path, and how much of that is good: its label, else SOFT of its probability."""
+    prior = float(np.log(model.prior / (1 - model.prior)))
+    p = F.coalesce(1 / (1 + F.exp(-(F.col("__llr") + prior))), F.lit(0.0))
+    labelled = F.col("__quality").isNotNull()
+    return F.when(labelled, F.lit(1.0)).otherwise(F.lit(SOFT)), F.when(labelled, (F.col("__quality") > 0).cast("double")).otherwise(SOFT * p)
+
+
 def site_rates(judged: DataFrame, labels: DataFrame, model: Classifier) -> DataFrame:
     """``host, path`` with the shrunk rates of good documents, their counts and the strengths.
 
@@ -147,30 +161,27 @@ def site_rates(judged: DataFrame, labels: DataFrame, model: Classifier) -> DataF
     probability with weight SOFT.  Paths are sums of documents, hosts sums of paths, the corpus the sum of
     hosts; each level's rate is drawn towards the one above by a strength that the spread below it gives.
     """
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("quality"))
-    prior = float(np.log(model.prior / (1 - model.prior)))
-    p = F.coalesce(1 / (1 + F.exp(-(F.col("__llr") + prior))), F.lit(0.0))
-    rows = judged.join(known, F.col("doc_id") == F.col("__id"), "left")
-    weight = F.when(F.col("quality").isNull(), F.lit(SOFT)).otherwise(F.lit(1.0))
-    good = F.when(F.col("quality").isNull(), p).otherwise((F.col("quality") > 0).cast("double"))
-    paths = store(rows.groupBy("host", "path").agg(F.sum(weight).alias("n"), F.sum(weight * good).alias("s")), "paths")
+    rows = judged.join(known_labels(labels), F.col("doc_id") == F.col("__id"), "left")
+    weight, good = own_part(model)
+    paths = store(rows.groupBy("host", "path").agg(F.sum(weight).alias("n"), F.sum(good).alias("s")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
     # one row: the corpus's rate, and how much a host draws on it
     all_ = paths.agg((F.sum("s") + 1) / (F.sum("n") + 2)).first()[0]
     all_ = 0.5 if all_ is None else float(all_)
     top = hosts.agg(_strength(F.col("hs") / F.col("hn"), F.col("hn"), F.lit(all_))).first()[0] or 1.0
     hosts = hosts.withColumn("host_rate", (F.col("hs") + top * all_) / (F.col("hn") + top))
-    both = paths.join(hosts.select(F.col("host").alias("__h"), "host_rate"), F.col("host") == F.col("__h"))
-    both = store(both.select("host", "path", "n", "s", "host_rate"), "rates")
+    both = paths.join(hosts.withColumnRenamed("host", "__h"), F.col("host") == F.col("__h"))
+    both = store(both.select("host", "path", "n", "s", "hn", "hs", "host_rate"), "rates")
     low = both.agg(_strength(F.col("s") / F.col("n"), F.col("n"), F.col("host_rate"))).first()[0] or 1.0
-    return both.select("host", "path", "n", "s", "host_rate", F.lit(float(low)).alias("strength"))
+    strengths = {"strength": float(low), "host_strength": float(top), "corpus_rate": all_}
+    return both.select("host", "path", "n", "s", "hn", "hs", "host_rate", *[F.lit(v).alias(k) for k, v in strengths.items()])
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """The columns of ``docs`` (or ``keep``) and ``OUTPUT``: the classifier's log odds, the rates of host and path, the posterior and the verdict.
 
-    ``score`` is the probability that a document is good: its log odds plus those of its path's rate, from which its own
-    part is taken out.  ``keep`` is ``score >= threshold``.
+    ``score`` is the probability that a document is good: its log odds plus those of its path's rate, from which (and from its host's) its own
+    part is taken out, be it a label or a probability; so a label tells about other documents only (and teaches the classifier).  ``keep`` is ``score >= threshold``.
 
     A text that is null, empty or blank has score 0.  Null sources or languages make a site of their own.  Rows without doc_id,
     or with null quality, teach nothing; without labels of both kinds every document has nought as evidence.  Repeated
@@ -181,20 +192,33 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold
     model = fitted(docs, labels, sample)
     needed = docs.select(*quoted(list(dict.fromkeys([*columns, "doc_id", "source", "lang", "text"]))))
     site = {"__host": host_of(F.col("source")), "__path": path_of(F.col("source"), F.col("lang"))}
-    light = with_evidence(docs.select("doc_id", "source", "lang", "text"), model).withColumns(site)
-    light = light.select("doc_id", F.col("__host").alias("host"), F.col("__path").alias("path"), "__llr")
+    own = F.col("doc_id").alias("__doc")
+    judged = with_evidence(needed, model).withColumns(site).select(*quoted(columns), own, "__llr", "__host", "__path")
+    if any(c.lower() == "text" for c in columns):
+        # texts are judged twice rather than stored
+        light = with_evidence(docs.select("doc_id", "source", "lang", "text"), model).withColumns(site)
+        light = light.select("doc_id", F.col("__host").alias("host"), F.col("__path").alias("path"), "__llr")
+    else:
+        judged = store(judged, "judged")
+        light = judged.select(F.col("__doc").alias("doc_id"), F.col("__host").alias("host"), F.col("__path").alias("path"), "__llr")
     rates = broadcast_if_small(store(site_rates(light, labels, model), "sites"))
-    rates = rates.toDF(*[f"__{c}" for c in ("h", "p", "n", "s", "host_rate", "strength")])
+    rates = rates.toDF(*[f"__{c}" for c in ("h", "p", "n", "s", "hn", "hs", "all_host_rate", "strength", "top", "corpus")])
 
-    judged = with_evidence(needed, model).withColumns(site).select(*quoted(columns), "__llr", "__host", "__path")
     rows = judged.join(rates, (F.col("__host") == F.col("__h")) & (F.col("__path") == F.col("__p")))
-    prior = float(np.log(model.prior / (1 - model.prior)))
-    own = SOFT / (1 + F.exp(-(F.col("__llr") + prior)))
-    others = F.greatest(F.col("__n") - SOFT, F.lit(0.0))
-    good = F.greatest(F.lit(0.0), F.least(F.col("__s") - own, others))
+    rows = rows.join(broadcast_if_small(store(known_labels(labels), "known")), F.col("__doc") == F.col("__id"), "left")
+    weight, part = own_part(model)
+
+    def without_own(n: str, good: str) -> tuple[Column, Column]:
+        rest = F.greatest(F.col(n) - weight, F.lit(0.0))
+        return rest, F.greatest(F.lit(0.0), F.least(F.col(good) - part, rest))
+
+    others, good = without_own("__hn", "__hs")
+    rows = rows.withColumn("__host_rate", (good + F.col("__top") * F.col("__corpus")) / (others + F.col("__top")))
+    others, good = without_own("__n", "__s")
     rate = (good + F.col("__strength") * F.col("__host_rate")) / (others + F.col("__strength"))
     rate = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), rate))
     rows = rows.withColumn("__rate", rate)
+    # a text without words has no evidence, and score 0
     odds = F.col("__llr") + F.log(F.col("__rate") / (1 - F.col("__rate")))
     score = F.coalesce(1 / (1 + F.exp(-odds)), F.lit(0.0))
     return rows.select(
