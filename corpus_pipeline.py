@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import sys
+from collections.abc import Callable
+from functools import wraps
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from eventflow.llm.base import table  # noqa: E402
-from eventflow.llm.common import broadcast_if_small, quoted, store  # noqa: E402
+from eventflow.llm.common import broadcast_if_small, quoted, release, store  # noqa: E402
 from eventflow.llm.decontaminate import leaks, without_leaks  # noqa: E402
 from eventflow.llm.jaccard_join import similar_documents  # noqa: E402
 from eventflow.llm.mixing import in_training_order, mix  # noqa: E402
@@ -27,12 +29,30 @@ from eventflow.llm.sharding import reshard  # noqa: E402
 # Layout that the last stage starts from (by a hash of the text), and the one it makes.
 OLD_SHARDS, SHARDS = 12, 16
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def released(stage: Stage) -> Stage:
+    """The stage between two releases: it begins without what the stages before it left on the driver, and its result is written without
+    what its own jobs left."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark)
+        out = stage(spark, docs, sf_dir)
+        release(spark)
+        return out
+
+    return run
+
+
+@released
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     return classify(docs, table(spark, sf_dir, "labels")).filter("keep").select(*quoted(docs.columns))
 
 
+@released
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of five-word shingles of 0.8 or more: the smallest doc_id.
 
@@ -52,11 +72,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return left.join(again, same, "left_anti").unionByName(one)
 
 
+@released
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     return without_leaks(docs, leaks(docs, table(spark, sf_dir, "benchmark")))
 
 
+@released
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes, in training order; a document taken twice is there twice.
 
@@ -87,6 +109,7 @@ def training_rank(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return ranked.select(*quoted(docs.columns), (F.col("__first") + F.col("__row")).alias("training_rank"))
 
 
+@released
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard, its slot there, and its place in the training order."""
     old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS)).cast("int")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, store
+from .common import broadcast_if_small, release, store
 from .graph import components
 from .shingles import pieces, shingle_sets
 
@@ -155,6 +155,7 @@ def similar_documents(docs: DataFrame, k: int = 5, over: int = 80, under: int =
     light = sets.select("doc_id", "n", "d1", "d2")
     classes = light.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("class"))
     classes = store(classes, "classes")
+    release(spark)
 
     # one row for each class; its prefix is that of any of its documents
     heads = sets.join(classes.select(F.col("class").alias("doc_id"), "d1", "d2", "n"), ["doc_id", "d1", "d2", "n"])
@@ -177,6 +178,7 @@ def similar_documents(docs: DataFrame, k: int = 5, over: int = 80, under: int =
     first = store(_expanded(stars, inside).union(inside.filter("member != group").select("group", "member")).distinct(), "pairs")
     links = store(verified(first, texts, k, over, under), "links")
     labels = components(links)
+    release(spark)
 
     rest = _left(shared, inside, labels, over, under)
     rest = store(rest.join(first, ["a", "b"], "left_anti"), "pairs")
