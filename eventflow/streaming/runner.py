@@ -48,9 +48,16 @@ def run_stream(
         )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = event_lines(run_pipeline(batch, spec, tables, **context), partition_by)
-        writer = out.write.mode("overwrite").option("compression", "gzip")
-        writer.partitionBy(*partition_by).text(f"{path}/batch={batch_id}")
+        # a step that joins back its own rows reads them more than once; they are decoded once
+        again = per_batch(spec)
+        batch = batch.persist() if again else batch
+        try:
+            out = event_lines(run_pipeline(batch, spec, tables, **context), partition_by)
+            writer = out.write.mode("overwrite").option("compression", "gzip")
+            writer.partitionBy(*partition_by).text(f"{path}/batch={batch_id}")
+        finally:
+            if again:
+                batch.unpersist()
 
     return start(stream, write, checkpoint, trigger)
 
