@@ -1,13 +1,15 @@
 """Failure alerts over a stream with keyed state.
 
-Two stateful steps.  A dataset's results are held in slices, so that no task has a whole dataset; when the watermark passes a
-check, an event-time timer closes it and each slice hands on its newest results of that check, ``window_size`` at most.  The
+Two stateful steps.  A dataset's results are held in slices, so that no task has a whole dataset; of each batch a slice holds the newest
+results of an open check, ``window_size`` at most, as no older one can count.  When the watermark passes a check, an event-time timer
+closes it and each slice hands on its newest results of that check, ``window_size`` at most.  The
 second step has one key for each dataset and keeps its newest ``window_size`` results and its last alert; it sees
 ``slices * window_size`` rows of a check at most, however many there were.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
@@ -27,52 +29,63 @@ MILLION = 1_000_000
 
 
 class _Slices(StatefulProcessor):
-    """Per dataset and slice: the results of open checks."""
+    """Per dataset and slice: the newest results of open checks, ``window_size`` at most of a check and batch, as one text each."""
 
     def __init__(self, results: str, keys: int, window_size: int, check_seconds: int):
         self.results, self.keys, self.window, self.check = results, keys, window_size, check_seconds * MILLION
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", self.results)
-        self.closed = handle.getValueState("closed", "second bigint")
+        self.open = handle.getListState("open", "second bigint, results string")
 
-    def _check(self, at: int) -> int:
-        return -(-at // self.check) * self.check
+    def _newest(self, frame: pd.DataFrame) -> pd.DataFrame:
+        """The newest results of each check; the first column is the event time."""
+        frame = frame.sort_values(list(frame.columns), ignore_index=True)
+        check = -(-frame[frame.columns[0]] // self.check) * self.check
+        return frame.groupby(check, sort=False).tail(self.window)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        known = set(self.handle.listTimers())
+        kept, fresh, waiting = None, [], 0
         for frame in rows:
-            columns = frame.columns[self.keys :]
-            self.open.appendList([tuple(r) for r in zip(*[frame[c].tolist() for c in columns], strict=True)])
-            for at in set(frame[columns[0]].tolist()):
-                # a check is closed once the watermark is beyond it
-                due = self._check(at) // 1000 + 1
-                if due not in known:
-                    known.add(due)
-                    self.handle.registerTimer(due)
+            frame = frame[frame.columns[self.keys :]]
+            fresh.append(frame)
+            waiting += len(frame)
+            # cut down only when as many have come as are held, so that a row is sorted a few times at most
+            if waiting >= max(100_000, 0 if kept is None else len(kept)):
+                kept, fresh, waiting = self._newest(pd.concat([kept, *fresh] if kept is not None else fresh)), [], 0
+        if fresh:
+            kept = self._newest(pd.concat([kept, *fresh] if kept is not None else fresh))
+        if kept is None or kept.empty:
+            return iter([])
+        columns = [kept[c].tolist() for c in kept.columns]
+        checks: dict[int, list[tuple]] = {}
+        for result in zip(*columns, strict=True):
+            checks.setdefault(-(-result[0] // self.check) * self.check, []).append(result)
+        self.open.appendList([(second, json.dumps(found)) for second, found in checks.items()])
+        self._wake(min(checks), list(self.handle.listTimers()))
         return iter([])
 
+    def _wake(self, second: int, known: list[int]) -> None:
+        """A timer for the first open check, which is closed once the watermark is beyond it."""
+        due = second // 1000 + 1
+        if not known or due < min(known):
+            self.handle.registerTimer(due)
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
         last = (mark - 1) * 1000 // self.check * self.check
-        # the first timer of a batch closes all that are due
-        if self.closed.exists() and self.closed.get()[0] >= last:
-            return
-        rows = sorted(tuple(r) for r in self.open.get())
-        due = [r for r in rows if self._check(r[0]) <= last]
-        if len(due) < len(rows):
-            self.open.put(rows[len(due) :])
+        checks: dict[int, list[tuple]] = {}
+        if self.open.exists():
+            for second, found in self.open.get():
+                checks.setdefault(second, []).extend(tuple(r) for r in json.loads(found))
+        newest = {second: sorted(found)[-self.window :] for second, found in checks.items()}
+        left = [(second, json.dumps(found)) for second, found in sorted(newest.items()) if second > last]
+        if left:
+            self.open.put(left)
+            self._wake(left[0][0], [t for t in self.handle.listTimers() if t > mark])
         else:
             self.open.clear()
-        self.closed.update((last,))
-        out, i = [], 0
-        while i < len(due):
-            check, j = self._check(due[i][0]), i
-            while j < len(due) and self._check(due[j][0]) == check:
-                j += 1
-            out += [(*key, pd.Timestamp(mark, unit="ms"), check // MILLION, *r) for r in due[max(i, j - self.window) : j]]
-            i = j
+        out = [(*key, pd.Timestamp(mark, unit="ms"), second // MILLION, *r) for second in sorted(newest) if second <= last for r in newest[second]]
         if out:
             yield pd.DataFrame(dict(enumerate(zip(*out, strict=True))))
 
@@ -137,7 +150,7 @@ def keyed_alerts(
     left out, which the query's progress counts.  ``order_by`` starts with the event time; its other columns are compared as integers or
     as text.  Rows for which ``heartbeat`` is true move the time and count for nothing.  Rows without an event time are left out.
 
-    State grows with the open checks and with ``window_size`` results a dataset.
+    State grows with the open checks (``window_size`` results at most a slice, check and batch) and with ``window_size`` results a dataset.
     """
     kinds = [(f"_o{i}", "bigint" if tx.type_of(stream, c).typeName() in ("byte", "short", "integer", "long") else "string") for i, c in enumerate(order_by[1:])]
     moment = tx.field(time_column).cast("timestamp")
