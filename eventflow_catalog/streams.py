@@ -23,14 +23,23 @@ from .summaries import ALERTS
 from .transfer import COLUMNS, SCHEMA
 
 
-def _stream(spark, sf, columns=None, files: int = 4):
-    """Events as a stream of JSON-line files in time order of arrival."""
+# Events of an arriving file at most.  One task reads a gzip file, so files and the tasks of a batch grow in number, not in size.
+FILE_EVENTS = 50_000
+
+
+def _files(events: int, least: int) -> int:
+    return max(least, -(-events // FILE_EVENTS))
+
+
+def _stream(spark, sf):
+    """Events as a stream of JSON-line files in time order of arrival, half of them a batch."""
     source = ef.scratch_dir(spark, "arriving")
     df = table(spark, sf, "events")
+    files = _files(df.count(), 4)
     extra = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
     lines = df.repartitionByRange(files, "ts", "event_id").select(F.to_json(F.struct(*COLUMNS, extra)).alias("value"))
     lines.write.option("compression", "gzip").text(source)
-    stream = ef.read_events_stream(spark, source, SCHEMA + ", at string", max_files=2)
+    stream = ef.read_events_stream(spark, source, SCHEMA + ", at string", max_files=-(-files // 2))
     return stream.withColumns(
         {
             "tenant_id": F.expr("concat('t', user_id % 3)"),
@@ -93,7 +102,7 @@ def _(spark, sf):
     )
 
 
-# Days of a slice of the event files that arrive one after the other; two files each.
+# Days of a slice of the event files that arrive one after the other; each slice has as many files, two at least, and is a batch.
 SLICE_DAYS = 5
 DAYS = 30
 
@@ -105,6 +114,7 @@ class _Arriving:
         self.spark, self.source = spark, ef.scratch_dir(spark, "arriving")
         self.events = table(spark, sf, "events").withColumn("day", F.expr("datediff(ts, DATE'2024-01-01')"))
         self.slices = DAYS // SLICE_DAYS
+        self.files = _files(self.events.count() // self.slices, 2)
 
     def _append(self, df, files):
         extra = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at")
@@ -116,7 +126,7 @@ class _Arriving:
             # the outer slices take what is before or after all days
             low = F.col("day") >= i * SLICE_DAYS if i else F.lit(True)
             high = F.col("day") < (i + 1) * SLICE_DAYS if i < self.slices - 1 else F.lit(True)
-            self._append(self.events.where(low & high), 2)
+            self._append(self.events.where(low & high), self.files)
 
     def tick(self):
         """A row that only moves the time, two days after the last event."""
@@ -125,7 +135,7 @@ class _Arriving:
         self._append(later, 1)
 
     def stream(self):
-        read = ef.read_events_stream(self.spark, self.source, SCHEMA + ", at string", max_files=2)
+        read = ef.read_events_stream(self.spark, self.source, SCHEMA + ", at string", max_files=self.files)
         return read.withColumns(
             {
                 "tenant_id": F.expr("concat('t', user_id % 3)"),
